@@ -474,7 +474,8 @@ def _unit_revenue(trades: DataFrame, brokers: DataFrame) -> DataFrame:
             "trade_year", "trade_month", F.col("u.level").alias("management_level"),
             F.col("u.id").alias("org_unit_id"),
         )
-        .agg(F.sum("_fee").alias("subordinate_revenue"))
+        # 28 digits leave room for the rate's six places in the product below.
+        .agg(F.sum("_fee").cast("decimal(28,2)").alias("subordinate_revenue"))
     )
 
 
