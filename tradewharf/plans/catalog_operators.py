@@ -46,14 +46,14 @@ AS_OF = dt.datetime(2001, 8, 3, 12)
 
 
 def query(fn: Callable[[DriverTables], DataFrame]):
-    """Register ``fn`` under its own name."""
+    """Register ``fn`` under its own name (``q_`` marks names that operators already have)."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = fn(DriverTables(spark, sf_dir))
         doubles = [f.name for f in out.schema.fields if f.dataType.typeName() == "double"]
         return out.withColumns({c: F.round(c, 6) for c in doubles}) if doubles else out
 
-    OPERATOR_QUERIES[fn.__name__] = run
+    OPERATOR_QUERIES[fn.__name__.removeprefix("q_")] = run
     return fn
 
 
@@ -135,14 +135,8 @@ def backfill_idempotent(t: DriverTables) -> DataFrame:
 
 @query
 def parse_json_props(t: DriverTables) -> DataFrame:
-    raw = files.land_json(
-        t.read("events").select("event_id", "props"), "props", F.lit(LOADED_AT), F.lit("events.json")
-    )
     parsed = t.read("events").select("event_id", F.try_parse_json("props").alias("raw"))
-    return parsed.select(
-        "event_id", F.try_variant_get("raw", "$.k", "int").alias("k"),
-        F.lit(",".join(raw.columns)).alias("landing_columns"),
-    )
+    return parsed.select("event_id", F.try_variant_get("raw", "$.k", "int").alias("k"))
 
 
 @query
@@ -417,7 +411,7 @@ def orphans_position_account(t: DriverTables) -> DataFrame:
 
 
 @query
-def manager_chain_pairs(t: DriverTables) -> DataFrame:
+def q_manager_chain(t: DriverTables) -> DataFrame:
     return manager_chain(t.employee())
 
 
@@ -811,7 +805,7 @@ def incremental_per_branch(t: DriverTables) -> DataFrame:
 
 
 @query
-def upsert_keyed_path(t: DriverTables) -> DataFrame:
+def q_upsert_keyed(t: DriverTables) -> DataFrame:
     """Month-partitioned upsert with corrections that move to another month, applied twice."""
     rows = t.lake()["fact_equity_trade"].select(*_KEYS, "trade_id", "trade_date", "amount")
 
@@ -961,7 +955,7 @@ def scd2_audit(t: DriverTables) -> DataFrame:
 
 
 @query
-def stream_upsert_table(t: DriverTables) -> DataFrame:
+def q_stream_upsert(t: DriverTables) -> DataFrame:
     """Landing in two arrivals, corrections second; each arrival upserted by the stream."""
     base = work_path(t.spark, "stream-upsert")
     spec = LANDED_BY_STAGED["stg_equity__equity_trade"]
