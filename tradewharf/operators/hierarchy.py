@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewharf.operators.relational import union_frames
 from tradewharf.session import materialize
 
 
@@ -57,10 +58,7 @@ def manager_chain(
     columns = ["id_number", "manager_id_number", "manager_employee_code", "chain_level"]
     if not levels:
         return step.select(*columns)
-    out = levels[0].select(*columns)
-    for step in levels[1:]:
-        out = out.unionByName(step.select(*columns))
-    return out
+    return union_frames([s.select(*columns) for s in levels])
 
 
 def chain_revenue(people: DataFrame, chain: DataFrame, revenue: DataFrame, key: str, value: str) -> DataFrame:

@@ -11,10 +11,10 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewharf.operators.relational import orphans
+from tradewharf.operators.relational import orphans, union_frames
 
 SCALAR = {"row_count", "missing", "accepted_values", "non_negative", "constraint", "freshness"}
 
@@ -55,45 +55,50 @@ def _validate(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> None:
             raise ValueError(f"check {c.label} on {c.table}: unknown column {', '.join(missing)}")
 
 
-def _scalar(c: Check, as_of: dt.datetime) -> Column:
-    col = F.col(c.columns[0]) if c.columns else None
+def _text(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def _scalar(c: Check, as_of: dt.datetime) -> str:
+    """Aggregate expression of a scalar check."""
+    col = f"`{c.columns[0]}`" if c.columns else ""
     if c.kind == "row_count":
-        return F.count(F.lit(1))
+        return "count(1)"
     if c.kind == "missing":
-        return F.count_if(col.isNull())
+        return f"count_if({col} is null)"
     if c.kind == "accepted_values":
-        return F.count_if(~col.isin(*c.values))
+        return f"count_if({col} not in ({', '.join(map(_text, c.values))}))"
     if c.kind == "non_negative":
-        return F.count_if(col < 0)
+        return f"count_if({col} < 0)"
     if c.kind == "constraint":
-        return F.count_if(~F.expr(c.expr))
+        return f"count_if(not ({c.expr}))"
     # Whole hours since the newest row; -1 when there is none.
-    age = F.timestamp_diff("HOUR", F.max(col).cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
-    return F.coalesce(age, F.lit(-1))
+    now = f"timestamp_ntz'{as_of.isoformat(sep=' ')}'"
+    return f"coalesce(timestampdiff(HOUR, cast(max({col}) as timestamp_ntz), {now}), -1)"
 
 
-def _status(c: Check, observed: Column) -> Column:
+def _status(c: Check, observed: str) -> str:
     if c.kind == "row_count":
-        return F.when(observed > 0, F.lit("pass")).otherwise(F.lit("fail"))
+        return f"case when {observed} > 0 then 'pass' else 'fail' end"
     if c.kind == "freshness":
-        out = F.lit("pass")
-        if c.warn_hours is not None:
-            out = F.when(observed >= c.warn_hours, F.lit("warn")).otherwise(out)
+        steps = f"when {observed} < 0 then 'fail'"
         if c.fail_hours is not None:
-            out = F.when(observed >= c.fail_hours, F.lit("fail")).otherwise(out)
-        return F.when(observed < 0, F.lit("fail")).otherwise(out)
-    return F.when(observed == 0, F.lit("pass")).otherwise(F.lit("fail"))
-
-
-def _entry(c: Check, observed: Column) -> Column:
-    observed = observed.cast("bigint")
-    return F.struct(
-        F.lit(c.table).alias("table_name"),
-        F.lit(c.label).alias("check_name"),
-        F.lit(",".join(c.columns)).alias("column_name"),
-        observed.alias("observed"),
-        _status(c, observed).alias("status"),
-    )
+            steps += f" when {observed} >= {c.fail_hours} then 'fail'"
+        if c.warn_hours is not None:
+            steps += f" when {observed} >= {c.warn_hours} then 'warn'"
+        return f"case {steps} else 'pass' end"
+    return f"case when {observed} = 0 then 'pass' else 'fail' end"
+
+
+def _entries(found: Sequence[tuple[Check, str]]) -> str:
+    """Report rows of several checks, each with the column that holds its count."""
+    rows = [
+        f"named_struct('table_name', {_text(c.table)}, 'check_name', {_text(c.label)}, "
+        f"'column_name', {_text(','.join(c.columns))}, 'observed', cast({o} as bigint), "
+        f"'status', {_status(c, o)})"
+        for c, o in found
+    ]
+    return f"inline(array({', '.join(rows)}))"
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], where: str | None = None) -> DataFrame:
@@ -136,9 +141,8 @@ def run_checks(
         df = tables[name]
         scalar = [c for c in checks if c.table == name and c.kind in SCALAR]
         if scalar:
-            row = df.agg(*[_scalar(c, as_of).alias(f"c{i}") for i, c in enumerate(scalar)])
-            entries = F.array(*[_entry(c, F.col(f"c{i}")) for i, c in enumerate(scalar)])
-            parts.append(row.select(F.explode(entries).alias("e")).select("e.*"))
+            row = df.agg(*[F.expr(f"{_scalar(c, as_of)} as c{i}") for i, c in enumerate(scalar)])
+            parts.append(row.selectExpr(_entries([(c, f"c{i}") for i, c in enumerate(scalar)])))
         for c in (c for c in checks if c.table == name and c.kind not in SCALAR):
             if c.kind == "duplicates":
                 hits = duplicate_keys(df, c.columns, c.where)
@@ -148,12 +152,8 @@ def run_checks(
                 hits = rowcount_anomalies(df, c.columns[0], **c.options).where("is_anomaly")
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
-            n = hits.agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(_entry(c, F.col("n")).alias("e")).select("e.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(hits.agg(F.expr("count(1) as n")).selectExpr(_entries([(c, "n")])))
+    return union_frames(parts)
 
 
 def gate(report: DataFrame) -> None:

@@ -40,15 +40,23 @@ def union_tagged(
 
     The tag is a literal in every branch, so a filter on it removes whole branches.
     """
-    out = None
-    for tag, frame in frames.items():
-        for old, new in (renames or {}).get(tag, {}).items():
-            frame = frame.withColumnRenamed(old, new)
-        part = frame.select(F.lit(tag).alias(tag_col), *columns)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("union_tagged needs at least one frame")
-    return out
+    parts = [
+        frame.withColumnsRenamed(dict((renames or {}).get(tag, {}))).select(
+            F.lit(tag).alias(tag_col), *columns
+        )
+        for tag, frame in frames.items()
+    ]
+    return union_frames(parts)
+
+
+def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    """UNION ALL of many frames, paired up as a balanced tree: planning cost grows with the
+    number of frames instead of its square."""
+    level = list(frames)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
 
 
 def pit_join(
