@@ -100,6 +100,28 @@ def test_rate_lookup_repeats_on_overlap_and_keeps_unmatched(spark):
     assert [i for i, _ in got] == [1, 1, 2, 3]
 
 
+def test_rate_lookup_without_broadcast_gives_the_same(spark, monkeypatch):
+    trades = spark.createDataFrame(
+        [(i, p, d("2019-11-15") + dt.timedelta(days=9 * i)) for i in range(60) for p in ("EQUITY", "OEF")],
+        "id int, product_type string, trade_date date",
+    )
+    rates = _rates(
+        spark, ("EQUITY", None, "0.3", "2020-01-10", "2020-06-05"), ("EQUITY", None, "0.2", "2020-06-06", None),
+        ("OEF", None, "0.5", "2021-03-31", None), ("OEF", None, "0.1", "2020-02-02", "2020-02-20"),
+    )
+    cols = ("id", "product_type", "commission_rate")
+    want = rows(relational.rate_lookup(trades, rates).fillna({"commission_rate": -1}), *cols)
+    monkeypatch.setattr(relational, "broadcast_if_small", lambda df: df)
+    got = rows(relational.rate_lookup(trades, rates).fillna({"commission_rate": -1}), *cols)
+    assert got == want and len({c for _, _, c in want}) == 5
+
+
+def test_broadcast_only_below_the_bound(spark):
+    df = spark.range(10)
+    assert relational.broadcast_if_small(df, 9) is df
+    assert relational.broadcast_if_small(df, 10) is not df
+
+
 def test_rate_lookup_prefers_the_exact_tier(spark):
     trades = spark.createDataFrame(
         [("a", "EQUITY", d("2020-06-01"), "SENIOR"), ("b", "EQUITY", d("2020-06-01"), "STANDARD"), ("c", "OEF", d("2020-06-01"), None)],

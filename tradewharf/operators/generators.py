@@ -108,24 +108,18 @@ def weight_by_rank(
 def front_month_weights(contracts: DataFrame, month_start: Column) -> DataFrame:
     """Weights 15 and 4 for the two nearest maturities from ``month_start`` on, else 1.
 
-    Two rows decide the result; they are a top-2, and the join broadcasts exactly those.
+    Two rows decide the result; they are a top-2, read as a scalar subquery.
     """
     active = contracts.where(F.col("maturity_date") >= month_start)
-    lead = active.orderBy("maturity_date", "contract_id").limit(2).select(
-        F.col("contract_id").alias("_lead"), F.col("maturity_date").alias("_due")
-    )
-    first = lead.agg(F.min_by("_lead", F.struct("_due", "_lead")).alias("_first"))
-    ranked = lead.crossJoin(F.broadcast(first))
-    return (
-        active.join(F.broadcast(ranked), F.col("contract_id") == F.col("_lead"), "left")
-        .withColumn(
-            "weight",
-            F.when(F.col("_lead") == F.col("_first"), 15)
-            .when(F.col("_lead").isNotNull(), 4)
-            .otherwise(1),
+    lead = active.orderBy("maturity_date", "contract_id").limit(2)
+    ids = lead.agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("maturity_date", "contract_id"))),
+            lambda x: x["contract_id"],
         )
-        .drop("_lead", "_due", "_first")
     )
+    place = F.array_position(ids.scalar(), F.col("contract_id"))
+    return active.withColumn("weight", F.when(place == 1, 15).when(place == 2, 4).otherwise(1))
 
 
 def numbered_accounts(customers: DataFrame, key: str, prefix: str, width: int) -> DataFrame:

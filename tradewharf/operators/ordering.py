@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewharf.operators.relational import BROADCAST_ROWS
+
 #: Keys looked at to place the slice borders. Borders only steer balance, never results.
 BORDER_SAMPLE = 4096
 #: Upper bound of slices; the per-slice table is broadcast and therefore this small.
@@ -125,15 +127,17 @@ def top_n_per_row(
     """
     numbered = row_numbers(candidates, candidate_key, "_pos").withColumn("_pos", F.col("_pos") - 1)
     total = int(candidates.count())
-    if total == 0:
-        return rows.limit(0).crossJoin(candidates.limit(0)).withColumn("pick", F.lit(0).cast("bigint"))
+    if total <= BROADCAST_ROWS:
+        # Few candidates mean few, hot join keys; their number has just been counted.
+        numbered = F.broadcast(numbered)
     take = F.least(F.col(n_col).cast("bigint"), F.lit(total))
     picks = rows.where(take > 0).withColumn(
         "pick", F.explode(F.sequence(F.lit(1).cast("bigint"), take))
     )
-    start = F.pmod(F.col(seed_col) * multiplier, F.lit(total))
+    count = F.lit(max(1, total))
+    start = F.pmod(F.col(seed_col) * multiplier, count)
     return (
-        picks.withColumn("_pos", F.pmod(start + F.col("pick") - 1, F.lit(total)))
+        picks.withColumn("_pos", F.pmod(start + F.col("pick") - 1, count))
         .join(numbered, "_pos")
         .drop("_pos")
     )

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewharf.operators.relational import orphans, union_frames
+from tradewharf.operators.relational import orphan_keys, union_frames
 
 SCALAR = {"row_count", "missing", "accepted_values", "non_negative", "constraint", "freshness"}
 
@@ -144,15 +144,17 @@ def run_checks(
             row = df.agg(*[F.expr(f"{_scalar(c, as_of)} as c{i}") for i, c in enumerate(scalar)])
             parts.append(row.selectExpr(_entries([(c, f"c{i}") for i, c in enumerate(scalar)])))
         for c in (c for c in checks if c.table == name and c.kind not in SCALAR):
+            count = "count(1)"
             if c.kind == "duplicates":
                 hits = duplicate_keys(df, c.columns, c.where)
             elif c.kind == "orphans":
-                hits = orphans(df, tables[c.parent], c.columns[0], c.parent_key)
+                hits = orphan_keys(df, tables[c.parent], c.columns[0], c.parent_key)
+                count = "coalesce(sum(row_count), 0)"
             elif c.kind == "anomaly":
                 hits = rowcount_anomalies(df, c.columns[0], **c.options).where("is_anomaly")
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
-            parts.append(hits.agg(F.expr("count(1) as n")).selectExpr(_entries([(c, "n")])))
+            parts.append(hits.agg(F.expr(f"{count} as n")).selectExpr(_entries([(c, "n")])))
     return union_frames(parts)
 
 

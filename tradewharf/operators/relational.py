@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tradewharf.functions import in_period, safe_ratio
 
+#: Largest table that is broadcast after a count.
+BROADCAST_ROWS = 100_000
+
 
 def dedup_latest(
     df: DataFrame,
@@ -90,6 +93,10 @@ def rate_lookup(
     Without ``tier_col`` every matching rate joins, so overlapping rates repeat the trade.
     With it, a rate for the exact tier beats the default (NULL) tier, and each trade keeps
     exactly one row; ``trades`` must then carry a unique ``_row`` column.
+
+    The equi key has only as many values as there are products, so the schedule is counted
+    and broadcast; a schedule too long for that falls back to a join on product and month,
+    with every rate repeated for the months it covers.
     """
     r = rates.select(
         F.col("product_type").alias("_product"),
@@ -99,23 +106,25 @@ def rate_lookup(
         F.col("effective_from").alias("_from"),
         F.col("effective_to").alias("_to"),
     )
-    if tier_col is None:
-        out = pit_join(trades, r, [("product_type", "_product")], date_col, "_from", "_to")
-        return out.drop("_product", "_tier", "_from", "_to")
-    cond = (
-        (trades["product_type"] == r["_product"])
-        & in_period(trades[date_col], r["_from"], r["_to"])
-        & (r["_tier"].isNull() | (r["_tier"] == trades[tier_col]))
-    )
-    joined = trades.join(r, cond, "left")
-    w = Window.partitionBy("_row").orderBy(
-        F.col("_tier").isNull().asc(), F.col("_from").desc(), F.col("commission_rate").desc()
-    )
-    return (
-        joined.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .drop("_product", "_tier", "_from", "_to", "_rn")
-    )
+    small = broadcast_if_small(r)
+    keys = trades["product_type"] == r["_product"]
+    if small is r:
+        trades = trades.withColumn("_month", F.trunc(date_col, "MM"))
+        last = F.coalesce("_to", trades.agg(F.max(date_col)).scalar())
+        months = F.sequence(F.trunc("_from", "MM"), F.greatest(last, "_from"), F.expr("interval 1 month"))
+        small = r.withColumn("_rate_month", F.explode(months))
+        keys = (trades["product_type"] == small["_product"]) & (trades["_month"] == small["_rate_month"])
+    cond = keys & in_period(trades[date_col], small["_from"], small["_to"])
+    if tier_col is not None:
+        cond = cond & (small["_tier"].isNull() | (small["_tier"] == trades[tier_col]))
+    joined = trades.join(small, cond, "left").drop("_month", "_rate_month")
+    if tier_col is not None:
+        # At most one row per rate in force meets here: a group is one trade.
+        w = Window.partitionBy("_row").orderBy(
+            F.col("_tier").isNull().asc(), F.col("_from").desc(), F.col("commission_rate").desc()
+        )
+        joined = joined.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return joined.drop("_product", "_tier", "_from", "_to")
 
 
 def latest_slice(df: DataFrame, date_col: str, per: Sequence[str] = ()) -> DataFrame:
@@ -149,25 +158,37 @@ def share_of_total(
     )
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows;
+    otherwise leave the join to the optimizer. The count stops at the bound."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     keys = parent.select(F.col(pk).alias("_pk"))
     return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 
+def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
+    """Keys without a parent and how many child rows carry each: the children are counted
+    per key before the join, so a hot key crosses the network once."""
+    per_key = child.groupBy(fk).agg(F.count(F.lit(1)).alias("row_count"))
+    return orphans(per_key, parent, fk, pk)
+
+
 def ensure_class_present(
     df: DataFrame, class_col: str, wanted: str, eligible: Column, order_col: str
 ) -> DataFrame:
     """When no row has class ``wanted``, promote the first eligible row (by ``order_col``)."""
     state = df.agg(
-        F.count_if(F.col(class_col) == wanted).alias("_n"),
-        F.min(F.when(eligible, F.col(order_col))).alias("_first"),
+        F.when(
+            F.count_if(F.col(class_col) == wanted) == 0, F.min(F.when(eligible, F.col(order_col)))
+        )
     )
-    promoted = F.when(
-        (F.col("_n") == 0) & (F.col(order_col) == F.col("_first")), F.lit(wanted)
-    ).otherwise(F.col(class_col))
-    # The state is a global aggregate: always exactly one row.
-    return df.crossJoin(F.broadcast(state)).withColumn(class_col, promoted).drop("_n", "_first")
+    # A scalar subquery: NULL when the class is present, so that nothing is promoted.
+    promoted = F.when(F.col(order_col) == state.scalar(), F.lit(wanted))
+    return df.withColumn(class_col, promoted.otherwise(F.col(class_col)))
 
 
 def sample_n(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 1000003) -> DataFrame:
