@@ -72,6 +72,12 @@ TABLES = {
     "rpt_margin_call_alert": "(select * from m_margin_report where loan_date = (select max(loan_date) from m_margin))",
     "int_all_trades": "m_trades",
 }
+FRESH_SOURCES = {
+    "branch": "d_branch", "broker": "d_broker", "customer": "d_customer", "customer_acquisition": "d_acquisition",
+    "customer_broker_history": "d_cbh", "customer_complaint": "d_complaint", "customer_risk_profile": "d_risk",
+    "customer_segment_history": "d_segment", "department": "d_department", "trading_alert": "d_alert",
+}
+TABLES.update({f"stg_common__{t}": src for t, src in FRESH_SOURCES.items()})
 # Reports whose statement has its own WITH clause are counted through it.
 REPORTS = [
     ("rpt_trading_activity_summary", "trade_month"),
@@ -156,10 +162,10 @@ def non_negative(t: str, c: str) -> str:
     return entry(t, "non_negative", c, f"select count(*) as o from {source(t)} where {c} < 0")
 
 
-def freshness(t: str) -> str:
+def freshness(t: str, now: str = "2001-08-03 12:00:00") -> str:
     return entry(
         t, "freshness", "ingested_at",
-        f"select date_sub('hour', max(ingested_at), timestamp '2001-08-03 12:00:00') as o from {source(t)}",
+        f"select date_sub('hour', max(ingested_at), timestamp '{now}') as o from {source(t)}",
         "case when o >= 50 then 'fail' when o >= 26 then 'warn' else 'pass' end",
     )
 
@@ -476,6 +482,10 @@ from s_equity_trade""",
     "dq_row_count": union(ALL_ROWS),
     "dq_non_negative": union(ALL_BOUNDS),
     "dq_freshness": union(ALL_FRESH),
+    "dq_source_freshness": union([freshness(f"stg_common__{t}", "2024-02-01 06:00:00") for t in FRESH_SOURCES]),
+    "dq_rate_overlap": """select 'prolonged' as source, fee_schedule_id, effective_to + 1 as effective_to, nx as next_from
+from (select *, lead(effective_from) over (partition by product_type order by effective_from) as nx from d_fee)
+where nx <= effective_to + 1""",
     "dq_rowcount_anomaly": union([f"select * from ({anomalies(t)})" for t in FACTS]),
     "dq_check_constraints": union([constraint(*c) for c in CONSTRAINTS]),
     "dq_unique_where": union(UNIQUE_WHERE),

@@ -361,7 +361,7 @@ def tables(spark):
         (quality.Check("t", "freshness", ("at",), warn_hours=26, fail_hours=50), 24, "pass"),
         (quality.Check("t", "freshness", ("at",), warn_hours=20, fail_hours=50), 24, "warn"),
         (quality.Check("t", "freshness", ("at",), warn_hours=10, fail_hours=20), 24, "fail"),
-        (quality.Check("empty", "freshness", ("at",), fail_hours=20), -1, "fail"),
+        (quality.Check("empty", "freshness", ("at",), fail_hours=20), None, "fail"),
     ],
 )
 def test_check(tables, check, observed, status):
@@ -421,6 +421,33 @@ def test_strict_cast_raises_and_lenient_is_null(spark):
         files.flatten_variant(raw, {"n": "bigint"}, strict=True).collect()
 
 
+def test_quarantine_keeps_the_payload_and_names_the_fields(spark):
+    text = ['{"id": 1, "n": 5, "day": "2020-01-01"}', '{"id": 2, "n": "x", "day": "never"}', '{"id": 3}', '{"id": "4", "n": "7"}']
+    raw = files.land_json(
+        spark.createDataFrame([(t,) for t in text], "t string"), "t", F.lit(dt.datetime(2020, 1, 1)), F.lit("f")
+    )
+    good, bad = files.split_bad_casts(raw, {"id": "bigint", "n": "int", "day": "date"})
+    assert [(r.id, r.n) for r in good.orderBy("id").collect()] == [(1, 5), (3, None), (4, 7)]
+    (row,) = bad.collect()
+    assert row.bad_fields == "n,day" and "never" in str(row.raw_data)
+
+
+def test_heavy_tables_are_all_landed(spark, tmp_path):
+    from tradewharf.schemas import SELECTED_STREAMS
+
+    tables = {f"{s.domain}.{s.table}": spark.range(2) for s in LANDED}
+    at = F.lit(dt.datetime(2020, 1, 1))
+    paths = files.land_heavy_tables(tables, str(tmp_path), at, F.lit("f"))
+    assert len(paths) == 11 and spark.read.parquet(paths["oef.oef_trade"]).count() == 2
+    del tables["oef.oef_trade"]
+    with pytest.raises(ValueError, match="oef.oef_trade"):
+        files.land_heavy_tables(tables, str(tmp_path), at, F.lit("f"))
+    # 26 replicated table names and the employee registry.
+    assert len(SELECTED_STREAMS) == 27 and files.require_streams(SELECTED_STREAMS) == SELECTED_STREAMS
+    with pytest.raises(ValueError, match="equity_trade"):
+        files.require_streams(set(SELECTED_STREAMS) - {"equity_trade"})
+
+
 def test_json_landing_payload_cases(spark):
     text = [
         '{"id": 1, "at": "2027-01-03T10:00:00.000Z", "amount": 10.25, "new_field": true}',

@@ -72,16 +72,16 @@ def _scalar(c: Check, as_of: dt.datetime) -> str:
         return f"count_if({col} < 0)"
     if c.kind == "constraint":
         return f"count_if(not ({c.expr}))"
-    # Whole hours since the newest row; -1 when there is none.
+    # Whole hours since the newest row, NULL when there is none.
     now = f"timestamp_ntz'{as_of.isoformat(sep=' ')}'"
-    return f"coalesce(timestampdiff(HOUR, cast(max({col}) as timestamp_ntz), {now}), -1)"
+    return f"timestampdiff(HOUR, cast(max({col}) as timestamp_ntz), {now})"
 
 
 def _status(c: Check, observed: str) -> str:
     if c.kind == "row_count":
         return f"case when {observed} > 0 then 'pass' else 'fail' end"
     if c.kind == "freshness":
-        steps = f"when {observed} < 0 then 'fail'"
+        steps = f"when {observed} is null then 'fail'"
         if c.fail_hours is not None:
             steps += f" when {observed} >= {c.fail_hours} then 'fail'"
         if c.warn_hours is not None:

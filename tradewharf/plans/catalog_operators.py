@@ -28,7 +28,7 @@ from tradewharf.operators.incremental import (
     upsert_keyed,
     upsert_path,
 )
-from tradewharf.plans.checks import CONSTRAINTS, GOLD_CHECKS, UNIQUE_WHERE
+from tradewharf.plans.checks import CONSTRAINTS, GOLD_CHECKS, SOURCE_FRESHNESS, UNIQUE_WHERE
 from tradewharf.plans.dims import PROFILE_CHECKS
 from tradewharf.plans.refresh import refresh, table_path
 from tradewharf.schemas import EMPLOYEE_SCHEMA, LANDED_BY_STAGED, PRODUCTS
@@ -224,7 +224,9 @@ def quarantine_bad_casts(t: DriverTables) -> DataFrame:
         "contract_id",
         F.when(F.col("trade_id") % 50 == 1, F.lit("VN30F")).otherwise(F.col("contract_id").cast("string")),
     )
-    raw = files.land_variant(rows, F.lit(LOADED_AT), F.lit("derivative_trade/part-0000.parquet"))
+    raw = materialize(
+        files.land_variant(rows, F.lit(LOADED_AT), F.lit("derivative_trade/part-0000.parquet")), "landing"
+    )
     good, bad = files.split_bad_casts(raw, spec.payload)
     kept = good.select("source_trade_id", "contract_id", F.lit("").alias("bad_fields"))
     return kept.unionByName(
@@ -985,10 +987,10 @@ def refresh_job(t: DriverTables) -> DataFrame:
 # -- quality --------------------------------------------------------------------------------------------------
 
 
-def _checked(t: DriverTables, checks) -> DataFrame:
-    lake = t.lake(AS_OF.date())
+def _checked(t: DriverTables, checks, as_of: dt.datetime = AS_OF) -> DataFrame:
+    lake = t.lake(as_of.date())
     names = {c.table for c in checks} | {c.parent for c in checks if c.parent}
-    return quality.run_checks({n: lake[n] for n in names}, list(checks), AS_OF)
+    return quality.run_checks({n: lake[n] for n in names}, list(checks), as_of)
 
 
 def _of_kind(kind: str):
@@ -1039,6 +1041,27 @@ def dq_freshness(t: DriverTables) -> DataFrame:
     return _checked(t, _of_kind("freshness"))
 
 
+@query
+def dq_source_freshness(t: DriverTables) -> DataFrame:
+    return _checked(t, SOURCE_FRESHNESS, dt.datetime(2024, 2, 1, 6))
+
+
+@query
+def dq_rate_overlap(t: DriverTables) -> DataFrame:
+    """Rates that could match one trade twice: none in the schedule itself, every one that
+    was prolonged by a day."""
+    rates = t.lake()["dim_fee_schedule"].select(
+        "fee_schedule_id", "product_type", "broker_tier", "effective_from", "effective_to"
+    )
+    longer = rates.withColumn("effective_to", F.date_add("effective_to", 1))
+    keys = ["product_type", "broker_tier"]
+    clean = scd2.overlapping_periods(rates, keys, "effective_from", "effective_to")
+    hit = scd2.overlapping_periods(longer, keys, "effective_from", "effective_to")
+    return clean.withColumn("source", F.lit("schedule")).unionByName(
+        hit.withColumn("source", F.lit("prolonged"))
+    ).select("source", "fee_schedule_id", "effective_to", "next_from")
+
+
 @query
 def dq_rowcount_anomaly(t: DriverTables) -> DataFrame:
     lake = t.lake()

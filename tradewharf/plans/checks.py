@@ -100,6 +100,21 @@ HISTORY_CHECKS: tuple[Check, ...] = tuple(
     )
 )
 
+#: The captured snapshot itself.
+SNAPSHOT_CHECKS: tuple[Check, ...] = tuple(
+    _table("snap_customer_profile", "version_id customer_code", "version_id")
+)
+
+#: Load age of the common source tables: warning after 26 hours, failure after 50.
+SOURCE_FRESHNESS: tuple[Check, ...] = tuple(
+    Check(f"stg_common__{name}", "freshness", ("ingested_at",), warn_hours=26, fail_hours=50)
+    for name in (
+        "branch", "broker", "customer", "customer_acquisition", "customer_broker_history",
+        "customer_complaint", "customer_risk_profile", "customer_segment_history", "department",
+        "trading_alert",
+    )
+)
+
 
 def _one_of(column: str, enum: str) -> str:
     return f"{column} in ({', '.join(repr(v) for v in ENUMS[enum])})"

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewharf.operators.incremental import write_partitioned
+from tradewharf.schemas import LANDED, SELECTED_STREAMS
 
 
 def export_partitions(
@@ -75,22 +76,52 @@ def flatten_variant(df: DataFrame, payload: Mapping[str, str], strict: bool = Fa
 def split_bad_casts(df: DataFrame, payload: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): a row is quarantined when a declared field holds a value that
     does not fit its type. Quarantined rows keep the payload and name the bad fields."""
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.try_variant_get("raw_data", f"$.{c}", "string").isNotNull()
-                    & F.try_variant_get("raw_data", f"$.{c}", t).isNull(),
-                    F.lit(c),
-                )
-                for c, t in payload.items()
-                if t != "string"
-            ]
-        )
+    # Two reads of the payload: every field by its type, and every field as text. Inlining a
+    # one-element array makes them columns that later filters refer to instead of repeat.
+    typed = ", ".join(f"{c}: {t}" for c, t in payload.items())
+    text = ", ".join(f"{c}: string" for c in payload)
+    read = df.selectExpr(
+        "raw_data", "_file_name", "_loaded_at",
+        "inline(array(named_struct("
+        f"'_typed', try_variant_get(raw_data, '$', 'struct<{typed}>'), "
+        f"'_text', try_variant_get(raw_data, '$', 'struct<{text}>'))))",
+    )
+    bad = ", ".join(
+        f"case when _text.{c} is not null and _typed.{c} is null then '{c}' end"
+        for c, t in payload.items()
+        if t != "string"
     )
-    marked = df.withColumn("bad_fields", F.concat_ws(",", bad))
-    good = flatten_variant(marked.where(F.col("bad_fields") == ""), payload)
-    return good, marked.where(F.col("bad_fields") != "")
+    marked = read.withColumn("bad_fields", F.expr(f"concat_ws(',', {bad})")).drop("_text")
+    good = marked.where("bad_fields = ''").select("_typed.*", "_loaded_at", "_file_name")
+    return good, marked.where("bad_fields <> ''").drop("_typed")
+
+
+def land_heavy_tables(
+    tables: Mapping[str, DataFrame], root: str, loaded_at: Column, file_name: Column
+) -> dict[str, str]:
+    """Land every table of the fixed list of heavy tables below ``root/<domain>/<table>``.
+
+    ``tables`` is keyed ``domain.table``. All of them must be there: a missing one is named
+    before anything is written.
+    """
+    wanted = {f"{s.domain}.{s.table}": s for s in LANDED}
+    missing = sorted(set(wanted) - set(tables))
+    if missing:
+        raise ValueError(f"heavy tables missing: {', '.join(missing)}")
+    paths = {}
+    for name, spec in wanted.items():
+        paths[name] = f"{root}/{spec.domain}/{spec.table}"
+        landed = land_variant(tables[name], loaded_at, file_name)
+        landed.write.mode("append").parquet(paths[name])
+    return paths
+
+
+def require_streams(available: Iterable[str]) -> tuple[str, ...]:
+    """The replicated streams; an error names those that are not available."""
+    missing = sorted(set(SELECTED_STREAMS) - set(available))
+    if missing:
+        raise ValueError(f"selected streams missing: {', '.join(missing)}")
+    return SELECTED_STREAMS
 
 
 def load_new_files(df: DataFrame, ledger: DataFrame, file_col: str = "_file_name") -> DataFrame:
