@@ -131,8 +131,8 @@ def latest_slice(df: DataFrame, date_col: str, per: Sequence[str] = ()) -> DataF
     """Rows of the single latest date, or of the latest date of each ``per`` group."""
     if not per:
         return df.where(F.col(date_col) == df.agg(F.max(date_col)).scalar())
-    last = df.groupBy(*per).agg(F.max(date_col).alias("_last"))
-    # One row per group reaches the join, whatever the size of the groups.
+    # One row per group; with few groups a shuffle on the group would have few, hot keys.
+    last = broadcast_if_small(df.groupBy(*per).agg(F.max(date_col).alias("_last")))
     return df.join(last, list(per)).where(F.col(date_col) == F.col("_last")).drop("_last")
 
 
@@ -160,8 +160,8 @@ def share_of_total(
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows;
-    otherwise leave the join to the optimizer. The count stops at the bound."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    otherwise leave the join to the optimizer."""
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
