@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ __all__ = [
     "month_start",
     "roll",
     "by_threshold",
+    "moment",
     "money",
     "struct_rows",
 ]
@@ -78,6 +81,11 @@ def by_threshold(draw: Column, steps: list[tuple[int, str]], default: str) -> Co
     return out
 
 
+def moment(value: dt.datetime) -> Column:
+    """TIMESTAMP_NTZ literal: the same wall-clock time whatever zone the session runs in."""
+    return F.expr(f"timestamp_ntz'{value.isoformat(sep=' ')}'")
+
+
 def money(value: Column, precision: int = 20, scale: int = 2) -> Column:
     return value.cast(f"decimal({precision},{scale})")
 

@@ -14,6 +14,7 @@ from tradewharf.functions import (
     flag,
     is_trading_day,
     is_weekend,
+    moment,
     month_start,
     pad_code,
     roll,
@@ -30,7 +31,7 @@ from tradewharf.operators.incremental import (
 )
 from tradewharf.plans.checks import CONSTRAINTS, GOLD_CHECKS, SOURCE_FRESHNESS, UNIQUE_WHERE
 from tradewharf.plans.dims import PROFILE_CHECKS
-from tradewharf.plans.refresh import refresh, table_path
+from tradewharf.plans.refresh import refresh
 from tradewharf.schemas import EMPLOYEE_SCHEMA, LANDED_BY_STAGED, PRODUCTS
 from tradewharf.session import materialize, work_path
 from tradewharf.sources import files
@@ -84,7 +85,7 @@ def export_partition_rerun(t: DriverTables) -> DataFrame:
 
 @query
 def land_variant(t: DriverTables) -> DataFrame:
-    raw = files.land_variant(t.read("orders"), F.lit(LOADED_AT))
+    raw = files.land_variant(t.read("orders"), moment(LOADED_AT))
     payload = {
         "o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(20,2)",
         "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
@@ -103,7 +104,7 @@ def stream_ingest(t: DriverTables) -> DataFrame:
 
     def run() -> None:
         stream_land(
-            t.spark, f"{base}/in", schema, f"{base}/out", f"{base}/ck", F.lit(LOADED_AT)
+            t.spark, f"{base}/in", schema, f"{base}/out", f"{base}/ck", moment(LOADED_AT)
         ).awaitTermination()
 
     events.where("event_type <> 'purchase'").write.parquet(f"{base}/in")
@@ -225,7 +226,7 @@ def quarantine_bad_casts(t: DriverTables) -> DataFrame:
         F.when(F.col("trade_id") % 50 == 1, F.lit("VN30F")).otherwise(F.col("contract_id").cast("string")),
     )
     raw = materialize(
-        files.land_variant(rows, F.lit(LOADED_AT), F.lit("derivative_trade/part-0000.parquet")), "landing"
+        files.land_variant(rows, moment(LOADED_AT), F.lit("derivative_trade/part-0000.parquet")), "landing"
     )
     good, bad = files.split_bad_casts(raw, spec.payload)
     kept = good.select("source_trade_id", "contract_id", F.lit("").alias("bad_fields"))
@@ -871,7 +872,7 @@ def captured_profile(t: DriverTables) -> DataFrame:
     history = None
     for state, at in zip(profile_states(t), RUNS):
         history = materialize(
-            scd2.snapshot_check(state, history, "customer_code", PROFILE_CHECKS, F.lit(at).cast("timestamp_ntz")),
+            scd2.snapshot_check(state, history, "customer_code", PROFILE_CHECKS, moment(at)),
             "snapshot",
         )
     return history
@@ -894,7 +895,7 @@ def dim_customer_history(t: DriverTables) -> DataFrame:
 @query
 def profile_as_of(t: DriverTables) -> DataFrame:
     """Complete customer profile at one moment, from the captured history."""
-    at = F.lit(dt.datetime(2002, 1, 2, 12)).cast("timestamp_ntz")
+    at = moment(dt.datetime(2002, 1, 2, 12))
     history = captured_profile(t)
     return history.where(
         (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))
@@ -967,9 +968,9 @@ def q_stream_upsert(t: DriverTables) -> DataFrame:
             t.spark, f"{base}/in", spec, "trade_date", f"{base}/out", f"{base}/ck"
         ).awaitTermination()
 
-    files.land_variant(t.staged(spec.staged), F.lit(LOADED_AT), F.lit("a.parquet")).write.parquet(f"{base}/in")
+    files.land_variant(t.staged(spec.staged), moment(LOADED_AT), F.lit("a.parquet")).write.parquet(f"{base}/in")
     run()
-    later = F.lit(LOADED_AT + dt.timedelta(days=1))
+    later = moment(LOADED_AT + dt.timedelta(days=1))
     files.land_variant(t.corrected(spec.staged), later, F.lit("b.parquet")).write.mode("append").parquet(f"{base}/in")
     run()
     return t.spark.read.parquet(f"{base}/out").select("source_trade_id", "trade_date", "amount", "_loaded_at")
@@ -977,11 +978,8 @@ def q_stream_upsert(t: DriverTables) -> DataFrame:
 
 @query
 def refresh_job(t: DriverTables) -> DataFrame:
-    """Two refreshes into a new folder; the report of the second one."""
-    root = work_path(t.spark, "refresh")
-    sources = t.sources()
-    refresh(t.spark, sources, root, RUNS[0], strict=False)
-    return refresh(t.spark, sources, root, RUNS[1], strict=False)
+    """The whole refresh into a new folder, with its quality report."""
+    return refresh(t.spark, t.sources(), work_path(t.spark, "refresh"), RUNS[0], strict=False)
 
 
 # -- quality --------------------------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewharf.functions import moment
 from tradewharf.registry import Lake
 from tradewharf.schemas import LANDED, LANDED_BY_STAGED
 from tradewharf.sources.files import land_variant
@@ -687,9 +688,9 @@ class DriverTables:
         """VARIANT landing of a heavy table: every row, and the corrections in a later file."""
         spec = LANDED_BY_STAGED[name]
         return land_variant(
-            self.staged(name), F.lit(LOADED), F.lit(f"{spec.table}/part-0000.parquet")
+            self.staged(name), moment(LOADED), F.lit(f"{spec.table}/part-0000.parquet")
         ).unionByName(
-            land_variant(self.corrected(name), F.lit(RELOADED), F.lit(f"{spec.table}/part-0001.parquet"))
+            land_variant(self.corrected(name), moment(RELOADED), F.lit(f"{spec.table}/part-0001.parquet"))
         )
 
     def sources(self) -> dict:
