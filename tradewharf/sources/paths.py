@@ -18,3 +18,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the folder names."""
+    fs, p = _fs(spark, path)
+    prefix = f"{column}="
+    names = [status.getPath().getName() for status in fs.listStatus(p)]
+    return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
