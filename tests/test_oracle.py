@@ -6,9 +6,11 @@ import pytest
 from oracle_compare import compare, connect
 
 import __spark_entry__ as entry
+from oracles import all_sql
+from tradewharf.plans.catalog import all_queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,11 @@ def test_every_statement_has_a_query():
     assert set(QUERIES) - set(SQL) == {"refresh_job"}
 
 
+def test_entry_has_them_all():
+    assert not set(QUERIES) - set(entry.queries())
+    assert not set(SQL) - set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(name, spark, con):
     assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) == ""

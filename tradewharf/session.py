@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,28 +25,32 @@ def build_session(app: str = "tradewharf", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-@functools.lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tradewharf-")
-
-
 def work_root(spark: SparkSession) -> str:
     """Shared folder for state and lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a single-JVM session without
-    that setting falls back to a local folder; a cluster session without it is an error.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests, it lies
+    below the warehouse, which every executor can reach too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root()
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application below the work folder; it goes when the session ends."""
+    path = f"{work_root(spark)}/tradewharf/{spark.sparkContext.applicationId}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+    return path
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new, never reused path below the work folder."""
-    return f"{work_root(spark)}/tradewharf/{label}-{uuid.uuid4().hex}"
+    """A new, never reused path below the run folder."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
