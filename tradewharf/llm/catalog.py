@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import decontamination, sharding
+from tradewharf.llm import decontamination, quality_rules, sharding
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.SQL}
+    return {"op1_decontamination": decontamination.SQL, "op3_quality_rules": quality_rules.SQL}
