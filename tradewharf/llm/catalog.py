@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import decontamination, quality_rules, sharding
+from tradewharf.llm import decontamination, mixing, quality_rules, sharding
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op7_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.SQL, "op3_quality_rules": quality_rules.SQL}
+    return {
+        "op1_decontamination": decontamination.SQL,
+        "op3_quality_rules": quality_rules.SQL,
+        "op7_mixing": mixing.SQL,
+    }

@@ -24,8 +24,8 @@ SPREAD = 3
 FEATURES = {
     "symbols_permille": (150, False),  # symbols per 1000 words
     "word_length": (300, True),  # code points per 100 words
-    "dup_lines_permille": (300, False),  # of the lines
-    "repeat_permille": (200, False),  # of the words
+    "dup_lines_permille": (500, False),  # of the lines
+    "repeat_permille": (280, False),  # of the words
     "shouting_permille": (150, False),  # capitals and exclamation marks among code points
 }
 
