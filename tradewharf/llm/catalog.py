@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import decontamination, mixing, quality_rules, sharding
+from tradewharf.llm import chat, decontamination, mixing, quality_rules, sharding, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,17 +24,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op7_mixing)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op5_warc, op7_mixing, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontamination.SQL,
         "op3_quality_rules": quality_rules.SQL,
+        "op5_warc": warc.SQL,
+        "op10_chat": chat.SQL,
         "op7_mixing": mixing.SQL,
     }
