@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import chat, decontamination, mixing, quality_rules, sharding, warc
+from tradewharf.llm import chat, decontamination, mixing, near_dedup, quality_rules, sharding, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +32,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op5_warc, op7_mixing, op10_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op5_warc, op7_mixing, op8_near_dedup, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
