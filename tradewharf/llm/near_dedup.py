@@ -184,15 +184,16 @@ def split_buckets(spots: DataFrame, key: str) -> DataFrame:
 
 
 def rare_shingles(sets: DataFrame) -> DataFrame:
-    """doc_id, shingle, n of the shingles by which a set can meet another: the rarest
-    n - ceil(0.8 n) + 1, without those that occur once."""
+    """doc_id, shingle, n, at: the shingles by which a set can meet another, the rarest
+    n - ceil(0.8 n) + 1, without those that occur once, and their places in the order."""
     each = sets.mapInArrow(_explode_sets, "doc_id long, shingle long, n long")
     shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     order = Window.partitionBy("doc_id").orderBy("df", "shingle")
     ranked = each.join(shared, "shingle").withColumns({
         "at": F.row_number().over(order), "many": F.count(F.lit(1)).over(Window.partitionBy("doc_id")),
     })
-    return ranked.where(f"n - many + at <= n - ({PERCENT} * n + 99) div 100 + 1").select("doc_id", "shingle", "n")
+    placed = ranked.withColumn("at", F.expr("n - many + at"))
+    return placed.where(f"at <= n - ({PERCENT} * n + 99) div 100 + 1").select("doc_id", "shingle", "n", "at")
 
 
 def across_parts(parts: DataFrame, spots: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -205,9 +206,11 @@ def across_parts(parts: DataFrame, spots: DataFrame, sets: DataFrame, scratch: S
     open_sets = sets.join(scratch.cut(open_ids, "open"), "doc_id")
     rare = placed(rare_shingles(open_sets).withColumnRenamed("doc_id", "rep"))
     met = scratch.cut(split_buckets(rare, "shingle"), "met")
-    rest = met.where("component <> main").select("shingle", F.col("rep").alias("a"), "n", F.col("component").alias("ca"))
-    others = met.select("shingle", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"), "main")
-    like = f"ca <> cb and (cb = main or a > b) and 100 * least(n, m) >= {PERCENT} * greatest(n, m)"
+    rest = met.where("component <> main").select("shingle", F.col("rep").alias("a"), "n", "at", F.col("component").alias("ca"))
+    others = met.select("shingle", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("component").alias("cb"), "main")
+    # At the first shingle that two sets share, what follows it must make up the whole overlap.
+    enough = f"{100 + PERCENT} * (1 + least(n - at, m - to)) >= {PERCENT} * (n + m)"
+    like = f"ca <> cb and (cb = main or a > b) and 100 * least(n, m) >= {PERCENT} * greatest(n, m) and {enough}"
     return rest.alias("l").join(others.alias("r"), F.expr(f"l.shingle = r.shingle and {like}")).select("a", "b").distinct()
 
 
