@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import chat, decontamination, mixing, near_dedup, quality_rules, sharding, warc
+from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, quality_rules, sharding, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
@@ -41,7 +45,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op5_warc, op7_mixing, op8_near_dedup, op10_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op7_mixing, op8_near_dedup, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
