@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, quality_rules, sharding, warc
+from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, quality_rules, sharding, site_quality, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +40,16 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op7_mixing, op8_near_dedup, op10_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op7_mixing, op8_near_dedup, op9_site_quality, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
