@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, quality_rules, sharding, site_quality, warc
+from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op7_mixing, op8_near_dedup, op9_site_quality, op10_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates, op7_mixing, op8_near_dedup, op9_site_quality, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
