@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, warc
 from tradewharf.llm.base import table
 
@@ -52,8 +53,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+OPERATORS = (
+    op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates,
+    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, pipeline,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates, op7_mixing, op8_near_dedup, op9_site_quality, op10_chat)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
