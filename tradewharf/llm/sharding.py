@@ -22,14 +22,23 @@ PRIME = 2_147_483_647
 BLOCKS = 4096
 
 
-def number_rows(docs: DataFrame, blocks: int = BLOCKS) -> tuple[DataFrame, int]:
-    """(``docs`` plus ``_tw_row`` from 0 without gaps, their count).
+def size_of(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
-    The order is a hash block of the id, the id, the content. It depends on the rows only, not
-    on files or partitions. The counts per block come from one aggregate of the id column.
+
+def checksum(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")))
+
+
+def number_rows(rows: DataFrame, blocks: int = BLOCKS) -> tuple[DataFrame, int]:
+    """(``rows`` plus ``_tw_row`` from 0 without gaps, their count).
+
+    The order is a hash block of doc_id, doc_id, ``_tw_len``, ``_tw_crc``. It depends on the
+    rows only, not on files or partitions. The counts per block come from the id column alone.
     """
-    block = F.pmod(F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long"), F.lit(blocks))
-    counts = docs.select(block.alias("_tw_b")).groupBy("_tw_b").agg(F.count(F.lit(1)).alias("_tw_n"))
+    head = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8)
+    block = F.pmod(F.conv(head, 16, 10).cast("long"), F.lit(blocks))
+    counts = rows.select(block.alias("_tw_b")).groupBy("_tw_b").agg(F.count(F.lit(1)).alias("_tw_n"))
     # One row per block, a fixed number.
     sizes = {r["_tw_b"]: r["_tw_n"] for r in counts.collect()}
     starts, total = [], 0
@@ -37,17 +46,9 @@ def number_rows(docs: DataFrame, blocks: int = BLOCKS) -> tuple[DataFrame, int]:
         starts.append(total)
         total += sizes.get(b, 0)
     order = Window.partitionBy("_tw_b").orderBy("doc_id", "_tw_len", "_tw_crc")
-    before = F.array(*[F.lit(s) for s in starts]) if blocks <= 16 else F.from_json(F.lit(str(starts)), "array<long>")
-    numbered = (
-        docs.withColumns({
-            "_tw_b": block,
-            "_tw_len": F.coalesce(F.octet_length("text"), F.lit(0)),
-            "_tw_crc": F.crc32(F.coalesce("text", F.lit(""))),
-        })
-        .withColumn("_tw_row", F.row_number().over(order).cast("long") - 1 + F.element_at(before, (F.col("_tw_b") + 1).cast("int")))
-        .drop("_tw_b", "_tw_len", "_tw_crc")
-    )
-    return numbered, total
+    before = F.element_at(F.from_json(F.lit(str(starts)), "array<long>"), (F.col("_tw_b") + 1).cast("int"))
+    numbered = rows.withColumn("_tw_b", block).withColumn("_tw_row", F.row_number().over(order).cast("long") - 1 + before)
+    return numbered.drop("_tw_b"), total
 
 
 def factors(n: int) -> tuple[int, int]:
@@ -96,6 +97,15 @@ def permute(rows: DataFrame, number: str, n: int, out: str, seed: str = SEED) ->
     return rows.withColumn(out, walk).drop("_tw_y")
 
 
+def place(rows: DataFrame, n_shards: int, seed: str) -> DataFrame:
+    """``rows`` (doc_id, _tw_len, _tw_crc, ...) plus shard and slot."""
+    numbered, n = number_rows(rows)
+    placed = permute(numbered, "_tw_row", max(n, 1), "_tw_at", seed)
+    return placed.withColumns({
+        "shard": F.pmod("_tw_at", F.lit(n_shards)).cast("int"), "slot": F.expr(f"_tw_at div {n_shards}L"),
+    }).drop("_tw_row", "_tw_at")
+
+
 def assign(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """``docs`` plus shard and slot: shard sizes differ by one row at most, slots are gapless.
 
@@ -103,22 +113,14 @@ def assign(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -> DataFra
     share their set of places, whichever takes which. Null ids come first in their block, null
     texts count as empty. No rows give no rows.
     """
-    numbered, n = number_rows(docs)
-    placed = permute(numbered, "_tw_row", max(n, 1), "_tw_at", seed)
-    return placed.withColumns({
-        "shard": F.pmod("_tw_at", F.lit(n_shards)).cast("int"),
-        "slot": F.expr(f"_tw_at div {n_shards}L"),
-    }).drop("_tw_row", "_tw_at")
-
-
-def checksum(text: Column) -> Column:
-    return F.crc32(F.coalesce(text, F.lit("")))
+    rows = docs.withColumns({"_tw_len": size_of(F.col("text")), "_tw_crc": checksum(F.col("text"))})
+    return place(rows, n_shards, seed).drop("_tw_len", "_tw_crc")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document; the law is ``rows``."""
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long")
-    return assign(docs.select("doc_id", "text")).select(
-        "doc_id", size.alias("size"), checksum(F.col("text")).alias("text_crc32"),
+    """One row per document; the law is ``rows``. Texts are read once and not shuffled."""
+    rows = docs.select("doc_id", size_of(F.col("text")).alias("_tw_len"), checksum(F.col("text")).alias("_tw_crc"))
+    return place(rows, SHARDS, SEED).select(
+        "doc_id", (F.col("_tw_len") + 8).alias("size"), F.col("_tw_crc").alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
