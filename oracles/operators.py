@@ -162,11 +162,11 @@ def non_negative(t: str, c: str) -> str:
     return entry(t, "non_negative", c, f"select count(*) as o from {source(t)} where {c} < 0")
 
 
-def freshness(t: str, now: str = "2001-08-03 12:00:00") -> str:
+def freshness(t: str, now: str = "2001-08-03 12:00:00", warn: int = 24, fail: int = 24) -> str:
     return entry(
         t, "freshness", "ingested_at",
         f"select date_sub('hour', max(ingested_at), timestamp '{now}') as o from {source(t)}",
-        "case when o >= 50 then 'fail' when o >= 26 then 'warn' else 'pass' end",
+        f"case when o >= {fail} then 'fail' when o >= {warn} then 'warn' else 'pass' end",
     )
 
 
@@ -222,6 +222,7 @@ CONSTRAINTS = [
     ("fact_derivative_trade", "s_derivative_trade", "position_side", "position_side in ('LONG', 'SHORT')"),
     ("fact_derivative_trade", "s_derivative_trade", "order_action", "order_action in ('OPEN', 'CLOSE')"),
     ("fact_oef_trade", "s_oef_trade", "transaction_type", "transaction_type in ('SUBSCRIBE', 'REDEEM', 'SWITCH')"),
+    ("stg_derivatives__position_daily", "s_derivatives_position", "position_side", "position_side in ('LONG', 'SHORT')"),
     ("stg_common__fee_schedule", "d_fee", "effective_dates", "effective_to is null or effective_to >= effective_from"),
 ]
 UNIQUE_WHERE = [
@@ -482,7 +483,7 @@ from s_equity_trade""",
     "dq_row_count": union(ALL_ROWS),
     "dq_non_negative": union(ALL_BOUNDS),
     "dq_freshness": union(ALL_FRESH),
-    "dq_source_freshness": union([freshness(f"stg_common__{t}", "2024-02-01 06:00:00") for t in FRESH_SOURCES]),
+    "dq_source_freshness": union([freshness(f"stg_common__{t}", "2024-02-01 06:00:00", 26, 50) for t in FRESH_SOURCES]),
     "dq_rate_overlap": """select 'prolonged' as source, fee_schedule_id, effective_to + 1 as effective_to, nx as next_from
 from (select *, lead(effective_from) over (partition by product_type order by effective_from) as nx from d_fee)
 where nx <= effective_to + 1""",

@@ -1,4 +1,4 @@
-"""Reports over the hand-written day, with results worked out by hand."""
+"""Reports over the two invented days, with results worked out by hand."""
 
 import datetime as dt
 from decimal import Decimal as D
@@ -13,75 +13,77 @@ from tradewharf.registry import Lake
 
 @pytest.fixture(scope="module")
 def lake(spark):
-    return Lake(spark, tiny.sources(spark), dt.date(2026, 7, 20))
+    return Lake(spark, tiny.sources(spark), tiny.DAY + dt.timedelta(days=5))
 
 
 def test_commission(lake):
-    got = {
-        (r.product_type, r.broker_code): r.broker_commission_amount
-        for r in lake["rpt_broker_commission_revenue"].collect()
-    }
+    """A fifth, a tenth and two fifths of the fees."""
+    got = {}
+    for r in lake["rpt_broker_commission_revenue"].collect():
+        key = (r.product_type, r.broker_code)
+        got[key] = got.get(key, 0) + r.broker_commission_amount
     assert got == {
-        ("EQUITY", "MG001"): D("14625"),
-        ("EQUITY", "MG002"): D("15300"),
-        ("DERIVATIVES", "MG002"): D("10000"),
-        ("OEF", "MG001"): D("0"),
+        ("EQUITY", "RED"): D(3), ("EQUITY", "BLUE"): D(8), ("DERIVATIVES", "BLUE"): D(3), ("OEF", "RED"): D("0.8")
     }
 
 
 def test_cross_sell(lake):
     rows = {r.customer_code: r for r in lake["rpt_customer_cross_sell"].collect()}
-    assert (rows["KH00001"].uses_equity, rows["KH00001"].uses_derivatives, rows["KH00001"].uses_oef) == (1, 0, 1)
-    assert (rows["KH00002"].uses_equity, rows["KH00002"].uses_derivatives, rows["KH00002"].uses_oef) == (1, 1, 0)
+    assert (rows["ANN"].uses_equity, rows["ANN"].uses_derivatives, rows["ANN"].uses_oef) == (1, 0, 1)
+    assert (rows["ORB"].uses_equity, rows["ORB"].uses_derivatives, rows["ORB"].uses_oef) == (1, 1, 0)
     assert not any(r.is_cross_sell_opportunity for r in rows.values())
 
 
-def test_margin(lake):
+def test_margin_takes_the_latest_day(lake):
     (row,) = lake["rpt_margin_call_alert"].collect()
-    assert row.account_no == "0002000001" and row.needs_attention is False
+    assert row.account_no == "F-701" and row.needs_attention is False
 
 
 def test_fund_flow(lake):
     (row,) = lake["rpt_oef_fund_flow"].collect()
-    assert (row.subscribe_amount, row.redeem_amount, row.net_flow_amount) == (D(10000000), D(0), D(10000000))
-    assert row.nav_price == D(28500)
+    assert (row.subscribe_amount, row.redeem_amount, row.net_flow_amount) == (D(500), D(0), D(500))
+    assert row.nav_price == D(50)
 
 
 def test_override_only_units_with_a_manager(lake):
+    """Fees of 17 in the west: 4 % for its head, 2 % for its director; the east has neither."""
     got = {r.management_level: r for r in lake["rpt_management_override_commission"].collect()}
-    assert got["HEAD_OF_DEPARTMENT"].override_commission_amount == D("2437.50")
-    assert got["BRANCH_DIRECTOR"].override_commission_amount == D("1462.50")
-    assert got["HEAD_OF_DEPARTMENT"].employee_name == "F" and len(got) == 2
+    assert got["HEAD_OF_DEPARTMENT"].override_commission_amount == D("0.68")
+    assert got["BRANCH_DIRECTOR"].override_commission_amount == D("0.34")
+    assert got["HEAD_OF_DEPARTMENT"].employee_name == "Hugo" and len(got) == 2
 
 
 def test_aum_all_attributed(lake):
     rows = lake["rpt_aum_summary"].collect()
-    assert len(rows) == 4 and all(r.broker_code for r in rows)
+    assert rows and all(r.broker_code for r in rows)
 
 
-def test_performance_of_a_single_day_is_zero(lake):
-    rows = lake["rpt_customer_investment_performance"].collect()
-    assert [(r.customer_return_pct, r.vnindex_return_pct) for r in rows] == [(0.0, 0.0)] * 2
-    # One customer, two accounts on the day: the values add up.
-    assert {r.customer_code: r.start_value for r in rows}["KH00001"] == D(92500000)
+def test_performance_over_two_days(lake):
+    """Ann's three accounts go from 1900 to 2090, Orb's two from 5000 to 4900, the index up 2 %."""
+    rows = {r.customer_code: r for r in lake["rpt_customer_investment_performance"].collect()}
+    assert rows["ANN"].start_value == D(1900) and abs(rows["ANN"].customer_return_pct - 0.1) < 1e-9
+    assert rows["ORB"].start_value == D(5000) and abs(rows["ORB"].customer_return_pct + 0.02) < 1e-9
+    assert all(abs(r.vnindex_return_pct - 0.02) < 1e-9 for r in rows.values())
 
 
 def test_dormant_and_boundary(spark):
-    for days, dormant in ((89, False), (90, True)):
+    """Orb traded last on the first day, Ann on the second."""
+    for days, orb, ann in ((89, False, False), (90, True, False), (91, True, True)):
         at = Lake(spark, tiny.sources(spark), tiny.DAY + dt.timedelta(days=days))
-        assert {r.is_dormant for r in at["rpt_customer_dormant"].collect()} == {dormant}
+        got = {r.customer_code: r.is_dormant for r in at["rpt_customer_dormant"].collect()}
+        assert got == {"ORB": orb, "ANN": ann}
 
 
 def test_broker_without_customers_has_null_ratios(lake):
     rows = {r.broker_code: r for r in lake["rpt_broker_performance"].collect()}
-    assert rows["CTV001"].managed_customer_count == 0
-    assert rows["CTV001"].retention_ratio_90d is None and rows["CTV001"].total_trade_amount == 0
-    assert rows["MG001"].retention_ratio_90d == 1.0
+    assert rows["TAN"].managed_customer_count == 0
+    assert rows["TAN"].retention_ratio_90d is None and rows["TAN"].total_trade_amount == 0
+    assert rows["RED"].retention_ratio_90d == 1.0
 
 
 def test_broker_dimension_matches_registry_by_identity(lake):
     rows = {r.broker_code: r for r in lake["dim_broker"].collect()}
-    assert rows["CTV001"].position_level == "COLLABORATOR"
+    assert rows["TAN"].position_level == "COLLABORATOR"
     assert "id_number" not in lake["dim_broker_public"].columns
 
 
@@ -93,7 +95,7 @@ def test_customer_identity_number_is_dropped(lake):
 def test_manager_chain(lake):
     pairs = manager_chain(lake["hr.employee"]).collect()
     got = sorted((r.id_number, r.chain_level, r.manager_employee_code) for r in pairs)
-    assert got == [("001", 1, "NV0003"), ("001", 2, "NV0004"), ("003", 1, "NV0004")]
+    assert got == [("P11", 1, "E-21"), ("P11", 2, "E-22"), ("P21", 1, "E-22")]
 
 
 def test_concentration_shares_add_up(lake):

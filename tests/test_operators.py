@@ -313,11 +313,9 @@ def test_manager_chain_cycle_unknown_and_self(spark):
     assert got == [("1", 1, "2"), ("2", 1, "1"), ("6", 1, "1"), ("6", 2, "2")]
 
 
-def test_manager_chain_too_deep_raises(spark):
-    people = _people(spark, *[(str(i), f"E{i}", f"E{i + 1}") for i in range(6)])
-    assert manager_chain(people, max_depth=5).count() == 15
-    with pytest.raises(ValueError, match="deeper"):
-        manager_chain(people, max_depth=3)
+def test_manager_chain_has_no_depth_limit(spark):
+    people = _people(spark, *[(str(i), f"E{i}", f"E{i + 1}") for i in range(71)])
+    assert manager_chain(people).where("id_number = '0'").count() == 70
 
 
 def test_manager_chain_of_nobody(spark):
@@ -361,6 +359,8 @@ def tables(spark):
         (quality.Check("t", "freshness", ("at",), warn_hours=26, fail_hours=50), 24, "pass"),
         (quality.Check("t", "freshness", ("at",), warn_hours=20, fail_hours=50), 24, "warn"),
         (quality.Check("t", "freshness", ("at",), warn_hours=10, fail_hours=20), 24, "fail"),
+        (quality.Check("t", "freshness", ("at",), fail_hours=24), 24, "fail"),
+        (quality.Check("t", "freshness", ("at",), fail_hours=25), 24, "pass"),
         (quality.Check("empty", "freshness", ("at",), fail_hours=20), None, "fail"),
     ],
 )
@@ -475,9 +475,9 @@ def test_registry_filters(spark):
     assert files.lookup_person(people, "9").count() == 0
 
 
-def test_cluster_without_shared_folder_is_an_error():
-    conf = SimpleNamespace(get=lambda *_: None)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.work_root(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn")))
-    local = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]"))
-    assert session.work_root(local) == session.work_root(local)
+def test_work_folder_is_the_sessions():
+    def at(**conf):
+        return session.work_root(SimpleNamespace(conf=SimpleNamespace(get=lambda k, *_: conf.get(k.split(".")[-2]))))
+
+    assert at(checkpoint="hdfs://shared/ck/", warehouse="hdfs://wh") == "hdfs://shared/ck"
+    assert at(warehouse="hdfs://wh/") == "hdfs://wh/_work"

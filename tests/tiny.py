@@ -1,12 +1,13 @@
-"""Hand-written data set of one trading day."""
+"""Two invented trading days: three brokers, two customers, five accounts."""
 
 from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
 
-DAY = dt.date(2026, 7, 17)
-AT = dt.datetime(2026, 7, 17, 20)
+DAY = dt.date(2025, 3, 12)
+NEXT = DAY + dt.timedelta(days=1)
+AT = dt.datetime(2025, 3, 14, 6)
 
 
 def _rows(spark, schema, *rows):
@@ -16,14 +17,14 @@ def _rows(spark, schema, *rows):
 def sources(spark) -> dict:
     d = dt.date
     stamp = "source_system string, source_updated_at timestamp_ntz, ingested_at timestamp_ntz"
-    crm = ("CRM", None, AT)
+    desk = ("DESK", None, AT)
 
     def history(attrs, *rows):
         return _rows(
             spark,
             f"history_id bigint, customer_code string, {attrs}, valid_from date, valid_to date, "
             "is_current boolean, source_system string, ingested_at timestamp_ntz",
-            *[(*r, None, True, "CRM", AT) for r in rows],
+            *[(*r, None, True, "DESK", AT) for r in rows],
         )
 
     account = (
@@ -44,101 +45,113 @@ def sources(spark) -> dict:
         "position_code string, position_level string, manager_employee_code string, start_date string, "
         "end_date string, status string"
     )
+    start = d(2021, 2, 1)
+
+    def person_row(no, name, unit, level, boss, kind="EMPLOYEE", code=True):
+        branch = ("W", "West") if unit != "SALES-E" else ("E", "East")
+        return (
+            f"P{no}", f"E-{no}" if code else None, name, kind, *branch, unit, unit and unit.title(), level.title(), level, level,
+            boss, "2018-05-01", None, "ACTIVE",
+        )
+
+    def equity_trade(no, day, account, who, broker, side, quantity, price, fee):
+        at = dt.datetime.combine(day, dt.time(10, no))
+        return (
+            no, day, at, f"X{no}", account, who, broker, 90 + no % 2, "MAIN", side, None, D(quantity), D(price),
+            D(quantity) * D(price), D(fee), None, None, None, "EXCHANGE", AT,
+        )
+
+    def money(day, *accounts):
+        return [(day, a, D(cash), D(held), D(cash) + D(held)) for a, cash, held in accounts]
+
     return {
         "common.branch": _rows(
             spark,
             "branch_id bigint, branch_code string, branch_name string, address string, "
             f"director_employee_code string, is_active boolean, {stamp}",
-            (1, "CN01", "North", None, "NV0004", True, *crm),
-            (2, "CN02", "South", None, None, True, *crm),
+            (7, "W", "West", "Quay 1", "E-22", True, *desk),
+            (8, "E", "East", None, None, True, *desk),
         ),
         "common.department": _rows(
             spark,
             "department_id bigint, department_code string, department_name string, branch_id bigint, "
             f"department_type string, head_employee_code string, is_active boolean, {stamp}",
-            (1, "PB01", "Brokerage North", 1, "BROKERAGE", "NV0003", True, *crm),
-            (2, "PB02", "Brokerage South", 2, "BROKERAGE", None, True, *crm),
+            (10, "SALES-W", "Sales West", 7, "BROKERAGE", "E-21", True, *desk),
+            (20, "SALES-E", "Sales East", 8, "BROKERAGE", None, True, *desk),
         ),
         "common.broker": _rows(
             spark,
             "broker_code string, broker_name string, broker_type string, broker_subtype string, "
             "department_id bigint, employee_code string, id_number string, phone string, email string, "
             f"start_date date, end_date date, is_active boolean, {stamp}",
-            ("MG001", "A", "BROKER", "STANDARD", 1, "NV0001", "001", None, None, d(2021, 3, 1), None, True, *crm),
-            ("MG002", "B", "BROKER", "SENIOR", 2, "NV0002", "002", None, None, d(2019, 7, 15), None, True, *crm),
-            ("CTV001", "C", "COLLABORATOR", "REFERRAL_INDIVIDUAL", 1, None, "099", None, None, d(2023, 1, 10), None, True, *crm),
+            ("RED", "Rita", "BROKER", "TEAM_LEAD", 10, "E-11", "P11", None, None, start, None, True, *desk),
+            ("BLUE", "Bo", "BROKER", "RM_VIP", 20, "E-12", "P12", None, None, start, None, True, *desk),
+            ("TAN", "Tim", "COLLABORATOR", "REFERRAL_AFFILIATE", 10, None, "P13", None, None, start, None, True, *desk),
         ),
         "common.customer": _rows(
             spark,
             "customer_code string, customer_name string, customer_type string, residency string, "
             f"id_number string, phone string, email string, open_date date, is_active boolean, {stamp}",
-            ("KH00001", "D", "INDIVIDUAL", "DOMESTIC", "x", None, None, d(2022, 5, 1), True, *crm),
-            ("KH00002", "E", "ORGANIZATION", "DOMESTIC", "y", None, None, d(2022, 8, 15), True, *crm),
-        ),
-        "common.customer_broker_history": history(
-            "broker_code string", (1, "KH00001", "MG001", d(2022, 5, 1)), (2, "KH00002", "MG002", d(2022, 8, 15))
+            ("ANN", "Ann", "INDIVIDUAL", "DOMESTIC", "i1", None, None, start, True, *desk),
+            ("ORB", "Orb Ltd", "ORGANIZATION", "FOREIGN", "i2", None, None, start, True, *desk),
         ),
+        "common.customer_broker_history": history("broker_code string", (1, "ANN", "RED", start), (2, "ORB", "BLUE", start)),
         "common.customer_risk_profile": history(
             "investor_classification string, risk_level string",
-            (1, "KH00001", "NON_PROFESSIONAL", "MEDIUM", d(2022, 5, 1)),
-            (2, "KH00002", "PROFESSIONAL", "HIGH", d(2022, 8, 15)),
-        ),
-        "common.customer_segment_history": history(
-            "segment string", (1, "KH00001", "RETAIL", d(2022, 5, 1)), (2, "KH00002", "VIP", d(2022, 8, 15))
+            (1, "ANN", "NON_PROFESSIONAL", "LOW", start), (2, "ORB", "PROFESSIONAL", "MEDIUM", start),
         ),
+        "common.customer_segment_history": history("segment string", (1, "ANN", "PRIORITY", start), (2, "ORB", "RETAIL", start)),
         "common.customer_acquisition": _rows(
             spark,
             "customer_code string, acquisition_channel string, referral_broker_code string, "
             "acquisition_date date, campaign_code string, source_system string, ingested_at timestamp_ntz",
-            ("KH00001", "BRANCH", "MG001", d(2022, 5, 1), None, "CRM", AT),
-            ("KH00002", "REFERRAL", "MG002", d(2022, 8, 15), None, "CRM", AT),
+            ("ANN", "ONLINE", "TAN", start, "spring", "DESK", AT),
+            ("ORB", "BRANCH", "BLUE", start, None, "DESK", AT),
         ),
         "common.fee_schedule": _rows(
             spark,
             "fee_schedule_id bigint, product_type string, broker_tier string, fee_rate decimal(9,6), "
             "commission_rate decimal(9,6), effective_from date, effective_to date, is_current boolean",
-            (1, "EQUITY", None, D("0.0015"), D("0.30"), d(2022, 1, 1), None, True),
-            (2, "DERIVATIVES", None, D("0.0002"), D("0.25"), d(2022, 1, 1), None, True),
-            (3, "OEF", None, D("0"), D("0.50"), d(2022, 1, 1), None, True),
+            (31, "EQUITY", None, D("0.005"), D("0.20"), start, None, True),
+            (32, "DERIVATIVES", None, D("0.003"), D("0.10"), start, None, True),
+            (33, "OEF", None, D("0.004"), D("0.40"), start, None, True),
         ),
         "common.management_commission_schedule": _rows(
             spark,
             "schedule_id bigint, management_level string, commission_rate decimal(9,6), effective_from date, "
             "effective_to date, is_current boolean",
-            (1, "HEAD_OF_DEPARTMENT", D("0.05"), d(2022, 1, 1), None, True),
-            (2, "BRANCH_DIRECTOR", D("0.03"), d(2022, 1, 1), None, True),
+            (41, "HEAD_OF_DEPARTMENT", D("0.04"), start, None, True),
+            (42, "BRANCH_DIRECTOR", D("0.02"), start, None, True),
         ),
         "common.market_index_price": _rows(
             spark,
             "price_date date, index_code string, close_value decimal(18,2), change_percent decimal(9,4), volume decimal(20,0)",
-            (DAY, "VNINDEX", D("1280.50"), D("0.35"), None),
-            (DAY, "VN30", D("1330.20"), D("0.42"), None),
+            (DAY, "VNINDEX", D("1000"), None, None),
+            (NEXT, "VNINDEX", D("1020"), D("2"), None),
         ),
         "equity.account": _rows(
             spark, account,
-            (1, "0001000001", "KH00001", "MG001", d(2022, 5, 1), True),
-            (2, "0001000002", "KH00002", "MG002", d(2022, 8, 15), True),
+            (501, "S-501", "ANN", "RED", start, True), (502, "S-502", "ANN", "RED", start, True),
+            (601, "S-601", "ORB", "BLUE", start, True),
         ),
-        "derivatives.account": _rows(spark, account, (1, "0002000001", "KH00002", "MG002", d(2022, 8, 15), True)),
-        "oef.account": _rows(spark, account, (1, "0003000001", "KH00001", "MG001", d(2022, 5, 1), True)),
+        "derivatives.account": _rows(spark, account, (701, "F-701", "ORB", "BLUE", start, True)),
+        "oef.account": _rows(spark, account, (801, "U-801", "ANN", "RED", start, True)),
         "oef.fund": _rows(
             spark,
             "fund_id bigint, fund_code string, fund_name string, fund_type string, fund_manager string, "
             "inception_date date, is_active boolean",
-            (1, "FUND1", "Equity fund", "EQUITY_FUND", "AM", d(2014, 6, 1), True),
+            (3, "BAL", "Balanced", "BALANCED_FUND", "House", start, True),
         ),
         "oef.fund_nav_history": _rows(
             spark,
             "nav_date date, fund_id bigint, nav_price decimal(18,4), total_net_asset decimal(24,2), outstanding_units decimal(24,4)",
-            (DAY, 1, D("28500"), D("850000000000"), D("29824561")),
+            (DAY, 3, D("50"), D("5000"), D("100")),
         ),
         "hr.employee": _rows(
             spark, person,
-            ("001", "NV0001", "A", "EMPLOYEE", "CN01", "North", "PB01", "Brokerage North", "Broker", "STANDARD", "BROKER", "NV0003", "2021-03-01", None, "ACTIVE"),
-            ("002", "NV0002", "B", "EMPLOYEE", "CN02", "South", "PB02", "Brokerage South", "Broker", "SENIOR", "BROKER", None, "2019-07-15", None, "ACTIVE"),
-            ("099", None, "C", "COLLABORATOR", "CN01", "North", "PB01", "Brokerage North", "Referrer", "REFERRAL_INDIVIDUAL", "COLLABORATOR", None, "2023-01-10", None, "ACTIVE"),
-            ("003", "NV0003", "F", "EMPLOYEE", "CN01", "North", "PB01", "Brokerage North", "Head", "HEAD_OF_DEPARTMENT", "HEAD_OF_DEPARTMENT", "NV0004", "2015-01-01", None, "ACTIVE"),
-            ("004", "NV0004", "G", "EMPLOYEE", "CN01", "North", None, None, "Director", "BRANCH_DIRECTOR", "BRANCH_DIRECTOR", None, "2012-01-01", None, "ACTIVE"),
+            person_row(11, "Rita", "SALES-W", "BROKER", "E-21"), person_row(12, "Bo", "SALES-E", "BROKER", None),
+            person_row(13, "Tim", "SALES-W", "COLLABORATOR", None, "COLLABORATOR", False),
+            person_row(21, "Hugo", "SALES-W", "HEAD_OF_DEPARTMENT", "E-22"), person_row(22, "Dora", None, "BRANCH_DIRECTOR", None),
         ),
         "stg_equity__equity_trade": _rows(
             spark,
@@ -146,8 +159,9 @@ def sources(spark) -> dict:
             "customer_code string, broker_code string, security_id bigint, market string, side string, order_type string, "
             "quantity decimal(18,0), price decimal(18,2), amount decimal(20,2), fee_amount decimal(18,2), "
             "tax_amount decimal(18,2), settlement_date date, order_id string, source_system string, ingested_at timestamp_ntz",
-            (1, DAY, dt.datetime(2026, 7, 17, 9, 30), "EQ-000001", "0001000001", "KH00001", "MG001", 1, "HOSE", "BUY", None, D(1000), D("32.50"), D(32500000), D(48750), None, None, None, "CORE_TRADING", AT),
-            (2, DAY, dt.datetime(2026, 7, 17, 10, 15), "EQ-000002", "0001000002", "KH00002", "MG002", 2, "HOSE", "SELL", None, D(500), D("68.00"), D(34000000), D(51000), None, None, None, "CORE_TRADING", AT),
+            equity_trade(1, DAY, "S-501", "ANN", "RED", "BUY", 200, 10, 10),
+            equity_trade(2, DAY, "S-601", "ORB", "BLUE", "SELL", 300, 20, 40),
+            equity_trade(3, NEXT, "S-502", "ANN", "RED", "SELL", 100, 11, 5),
         ),
         "stg_derivatives__derivative_trade": _rows(
             spark,
@@ -155,7 +169,7 @@ def sources(spark) -> dict:
             "customer_code string, broker_code string, contract_id bigint, position_side string, order_action string, "
             "quantity decimal(18,0), price decimal(18,2), amount decimal(20,2), margin_amount decimal(20,2), "
             "fee_amount decimal(18,2), settlement_date date, order_id string, source_system string, ingested_at timestamp_ntz",
-            (1, DAY, dt.datetime(2026, 7, 17, 13, 5), "DR-000001", "0002000001", "KH00002", "MG002", 1, "LONG", "OPEN", D(2), D("1330.50"), D(266100000), D(26610000), D(40000), None, None, "DERIVATIVES", AT),
+            (5, DAY, dt.datetime(2025, 3, 12, 11), "Y5", "F-701", "ORB", "BLUE", 60, "SHORT", "CLOSE", D(3), D(3000), D(9000), D(900), D(30), None, None, "FUTURES", AT),
         ),
         "stg_oef__oef_trade": _rows(
             spark,
@@ -163,28 +177,31 @@ def sources(spark) -> dict:
             "customer_code string, broker_code string, fund_id bigint, transaction_type string, quantity_unit decimal(20,4), "
             "nav_price decimal(18,4), amount decimal(20,2), fee_amount decimal(18,2), settlement_date date, order_id string, "
             "source_system string, ingested_at timestamp_ntz",
-            (1, DAY, dt.datetime(2026, 7, 17, 14), "OEF-000001", "0003000001", "KH00001", "MG001", 1, "SUBSCRIBE", D("350.8772"), D(28500), D(10000000), D(0), None, None, "OEF", AT),
+            (8, DAY, dt.datetime(2025, 3, 12, 12), "Z8", "U-801", "ANN", "RED", 3, "SUBSCRIBE", D(10), D(50), D(500), D(2), None, None, "FUNDS", AT),
         ),
         "stg_equity__account_balance_daily": _rows(
-            spark, balance, (DAY, 1, D(50000000), D(32500000), D(82500000)), (DAY, 2, D(20000000), D(34000000), D(54000000))
+            spark, balance,
+            *money(DAY, (501, 400, 600), (502, 100, 300), (601, 500, 1500)), *money(NEXT, (501, 400, 700), (502, 50, 400), (601, 500, 1400)),
         ),
-        "stg_derivatives__account_balance_daily": _rows(spark, balance, (DAY, 1, D(100000000), D(0), D(100000000))),
-        "stg_oef__account_balance_daily": _rows(spark, balance, (DAY, 1, D(0), D(10000000), D(10000000))),
+        "stg_derivatives__account_balance_daily": _rows(spark, balance, *money(DAY, (701, 3000, 0)), *money(NEXT, (701, 3000, 0))),
+        "stg_oef__account_balance_daily": _rows(spark, balance, *money(DAY, (801, 0, 500)), *money(NEXT, (801, 0, 540))),
         "stg_equity__margin_loan_daily": spark.createDataFrame([], loan),
-        "stg_derivatives__margin_loan_daily": _rows(spark, loan, (DAY, 1, D(26610000), D("0.18"), D("0.15"), False)),
+        "stg_derivatives__margin_loan_daily": _rows(
+            spark, loan, (DAY, 701, D(800), D("0.20"), D("0.25"), True), (NEXT, 701, D(700), D("0.40"), D("0.25"), False)
+        ),
         "stg_equity__position_daily": _rows(
             spark,
             "position_date date, account_id bigint, security_id bigint, quantity decimal(20,4), avg_cost_price decimal(18,4), market_value decimal(20,2)",
-            (DAY, 1, 1, D(1000), D("32.5"), D(32500000)),
+            (NEXT, 501, 91, D(200), D(10), D(700)), (NEXT, 502, 90, D(40), D(10), D(400)),
         ),
         "stg_derivatives__position_daily": _rows(
             spark,
             "position_date date, account_id bigint, contract_id bigint, position_side string, quantity decimal(20,4), avg_cost_price decimal(18,4), market_value decimal(20,2)",
-            (DAY, 1, 1, "LONG", D(2), D("1330.5"), D(266100000)),
+            (NEXT, 701, 60, "SHORT", D(3), D(3000), D(9000)),
         ),
         "stg_oef__position_daily": _rows(
             spark,
             "position_date date, account_id bigint, fund_id bigint, quantity_unit decimal(20,4), avg_cost_nav decimal(18,4), market_value decimal(20,2)",
-            (DAY, 1, 1, D("350.8772"), D(28500), D(10000000)),
+            (NEXT, 801, 3, D(10), D(50), D(540)),
         ),
     }

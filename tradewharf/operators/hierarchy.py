@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,13 @@ def manager_chain(
     id_col: str = "id_number",
     code_col: str = "employee_code",
     manager_col: str = "manager_employee_code",
-    max_depth: int = 64,
 ) -> DataFrame:
     """All (person, manager, level) pairs above each person, level 1 = direct manager.
 
     A chain ends at an unknown manager code or when it meets somebody already on it, so
     cycles end by themselves. Each level is one equi join of the still-open chains with the
     registry, written out before the next one starts, so the plan stays flat and a lost
-    executor costs one level at most. Chains deeper than ``max_depth`` raise instead of
-    being cut.
+    executor costs one level at most. There is no limit on the depth.
     """
     nodes = people.select(
         F.col(id_col).alias("_mgr_id"),
@@ -35,7 +35,7 @@ def manager_chain(
         F.array(F.col(id_col)).alias("_path"),
     )
     levels: list[DataFrame] = []
-    for level in range(1, max_depth + 2):
+    for level in itertools.count(1):
         step = (
             frontier.join(nodes, F.col("_next") == F.col("_mgr_code"))
             .where(~F.array_contains("_path", F.col("_mgr_id")))
@@ -51,8 +51,6 @@ def manager_chain(
         step = materialize(step, f"chain-{level}")
         if step.isEmpty():
             break
-        if level > max_depth:
-            raise ValueError(f"manager chain deeper than {max_depth}")
         levels.append(step)
         frontier = step.where(F.col("_next").isNotNull()).select("id_number", "_next", "_path")
     columns = ["id_number", "manager_id_number", "manager_employee_code", "chain_level"]

@@ -27,7 +27,7 @@ def slice_borders(df: DataFrame, key: str, slices: int) -> list:
     """
     keys = df.select(key).where(F.col(key).isNotNull())
     step = max(1, keys.count() // BORDER_SAMPLE)
-    picked = keys.where(F.pmod(F.xxhash64(F.col(key)), F.lit(step)) == 0).limit(4 * BORDER_SAMPLE)
+    picked = keys.where(F.pmod(F.xxhash64(F.col(key)), F.lit(step)) == 0)
     found = sorted({r[0] for r in picked.collect()})
     if len(found) <= slices:
         return found[1:]

@@ -23,7 +23,7 @@ def _parent(table: str, column: str, parent: str, key: str) -> Check:
 
 def _trade(table: str, day: str = "trade_date") -> tuple[Check, ...]:
     return (
-        Check(table, "freshness", ("ingested_at",), warn_hours=26, fail_hours=50),
+        Check(table, "freshness", ("ingested_at",), fail_hours=24),
         Check(table, "anomaly", (day,), options={"look_back": 7, "sensitivity": 0.7}),
     )
 
@@ -152,7 +152,8 @@ CONSTRAINTS: tuple[Check, ...] = (
     _constraint("fact_derivative_trade", "position_side", _one_of("position_side", "position_side")),
     _constraint("fact_derivative_trade", "order_action", _one_of("order_action", "order_action")),
     _constraint("fact_oef_trade", "transaction_type", _one_of("transaction_type", "transaction_type")),
-    # Not a source constraint: at most one rate may match a trade.
+    _constraint("stg_derivatives__position_daily", "position_side", _one_of("position_side", "position_side")),
+    # Not a constraint of the source: a rate must not end before it begins.
     _constraint("stg_common__fee_schedule", "effective_dates", "effective_to is null or effective_to >= effective_from"),
 )
 

@@ -57,14 +57,15 @@ def stream_upsert(
     """Landing to typed, deduplicated table: one keyed upsert per micro-batch.
 
     A replayed micro-batch gives the same table, because the newest ``_loaded_at`` per key
-    wins however often a row is offered.
+    wins however often a row is offered. The file name stays in the table: it settles equal
+    load times across micro-batches as it does within one.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         typed = flatten_variant(batch, spec.payload)
-        latest = dedup_latest(typed, spec.keys, ["_loaded_at"], ["_file_name"]).drop("_file_name")
+        latest = dedup_latest(typed, spec.keys, ["_loaded_at"], ["_file_name"])
         monthly = latest.withColumn("month", month_start(F.col(date_col)))
-        upsert_path(batch.sparkSession, out_dir, monthly, spec.keys, "month", newest_by="_loaded_at")
+        upsert_path(batch.sparkSession, out_dir, monthly, spec.keys, "month", newest_by="_loaded_at", ties=["_file_name"])
 
     bronze = spark.read.parquet(bronze_dir).schema
     return (
