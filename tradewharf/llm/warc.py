@@ -27,6 +27,8 @@ from tradewharf.llm.base import Scratch
 MIN_REVISIT_BYTES = 0
 #: Ranges closer than this are read together, up to the second number.
 GAP_BYTES, READ_BYTES = 64_000, 8_000_000
+#: Archive bytes a reading task gets; the index rows alone would tell too little about its work.
+TASK_BYTES = 64_000_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -196,8 +198,13 @@ def _reader(folder: str, gap: int, most: int):
 
 def read_records(folder: str, index: DataFrame, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
     """The records of the given index rows. Archives are cut into stretches of ``most`` bytes,
-    each read by one task in the order of offsets, so one large archive is read by many."""
-    dealt = index.select("file", "offset", "length").repartition("file", F.expr(f"offset div {most}L"))
+    each read by one task in the order of offsets, so one large archive is read by many.
+
+    The number of tasks follows the archive bytes to read: left to itself, adaptive execution
+    would merge tasks by the size of the index, which is a small part of what they read."""
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = index.select("file", "offset", "length").repartition(tasks, "file", F.expr(f"offset div {most}L"))
     return dealt.sortWithinPartitions("file", "offset").mapInArrow(_reader(folder, gap, most), RECORD_SCHEMA)
 
 
