@@ -100,7 +100,7 @@ def test_rate_lookup_repeats_on_overlap_and_keeps_unmatched(spark):
     assert [i for i, _ in got] == [1, 1, 2, 3]
 
 
-def test_rate_lookup_without_broadcast_gives_the_same(spark, monkeypatch):
+def test_rate_lookup_equals_the_range_join(spark):
     trades = spark.createDataFrame(
         [(i, p, d("2019-11-15") + dt.timedelta(days=9 * i)) for i in range(60) for p in ("EQUITY", "OEF")],
         "id int, product_type string, trade_date date",
@@ -110,18 +110,13 @@ def test_rate_lookup_without_broadcast_gives_the_same(spark, monkeypatch):
         ("OEF", None, "0.5", "2021-03-31", None), ("OEF", None, "0.1", "2020-02-02", "2020-02-20"),
     )
     cols = ("id", "product_type", "commission_rate")
-    want = rows(relational.rate_lookup(trades, rates).fillna({"commission_rate": -1}), *cols)
-    monkeypatch.setattr(relational, "broadcast_if_small", lambda df: df)
+    on = (trades.product_type == rates.product_type) & (trades.trade_date >= rates.effective_from) & (
+        trades.trade_date <= F.coalesce(rates.effective_to, F.lit(d("9999-12-31"))))
+    want = rows(trades.join(rates, on, "left").drop(rates.product_type).fillna({"commission_rate": -1}), *cols)
     got = rows(relational.rate_lookup(trades, rates).fillna({"commission_rate": -1}), *cols)
     assert got == want and len({c for _, _, c in want}) == 5
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    assert relational.broadcast_if_small(df, 9) is df
-    assert relational.broadcast_if_small(df, 10) is not df
-
-
 def test_rate_lookup_prefers_the_exact_tier(spark):
     trades = spark.createDataFrame(
         [("a", "EQUITY", d("2020-06-01"), "SENIOR"), ("b", "EQUITY", d("2020-06-01"), "STANDARD"), ("c", "OEF", d("2020-06-01"), None)],
@@ -203,6 +198,16 @@ def test_running_total_on_text_keys_and_empty_input(spark):
     assert ordering.row_numbers(df.limit(0), "k", "n").count() == 0
 
 
+def test_running_total_over_more_slices_than_256(spark):
+    df = spark.range(3000).selectExpr("id * 7 as k", "id % 5 as w")
+    got = rows(ordering.running_total(df, "k", F.col("w"), "t", slices=700), "k", "t")
+    want, total = [], 0
+    for i in range(3000):
+        total += i % 5
+        want.append((i * 7, total))
+    assert got == want
+
+
 def test_running_total_has_no_one_task_window_over_rows(spark):
     df = spark.range(1000).toDF("k")
     plan = ordering.row_numbers(df, "k", "n", slices=4)._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,8 @@
 """Order-dependent operators over a whole table, without a one-task window.
 
 A window with no partition key sends every row to one task. These operators cut the key
-space into slices, sum each slice, and add the sums of the slices before it.
+space into slices, sum each slice, and add the sums of the slices before it. The input is
+written once, and once more with its slices, so it is computed one time only.
 """
 
 from __future__ import annotations
@@ -11,40 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewharf.operators.relational import BROADCAST_ROWS
+from tradewharf.session import materialize, work_path
+from tradewharf.sources.paths import delete_path
 
-#: Keys looked at to place the slice borders. Borders only steer balance, never results.
-BORDER_SAMPLE = 4096
-#: Upper bound of slices; the per-slice table is broadcast and therefore this small.
-MAX_SLICES = 256
+#: Rows a slice is meant to have; the number of slices grows with the table.
+SLICE_ROWS = 1_000_000
 
 
-def slice_borders(df: DataFrame, key: str, slices: int) -> list:
-    """Border keys from a repeatable sample of about ``BORDER_SAMPLE`` keys.
+def sliced(df: DataFrame, key: str, slices: int | None = None) -> DataFrame:
+    """``df`` as a written table with ``_slice``: rows of slice *i* have smaller keys than those
+    of slice *i + 1*, and equal keys share a slice.
 
-    The sample is a filter on the key's hash with a step taken from the row count, so what
-    reaches the driver does not grow with the data or the number of tasks.
+    Spark places the borders from a sample; they steer balance, never results. Writing the
+    slice numbers fixes them, so that every later reading sees the same.
     """
-    keys = df.select(key).where(F.col(key).isNotNull())
-    step = max(1, keys.count() // BORDER_SAMPLE)
-    picked = keys.where(F.pmod(F.xxhash64(F.col(key)), F.lit(step)) == 0)
-    found = sorted({r[0] for r in picked.collect()})
-    if len(found) <= slices:
-        return found[1:]
-    gap = len(found) / slices
-    return sorted({found[int(i * gap)] for i in range(1, slices)})
-
-
-def slice_of(key: Column, borders: Sequence) -> Column:
-    """Slice number of a key: a balanced tree of comparisons over the borders."""
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(borders[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return node(0, len(borders))
+    spark = df.sparkSession
+    path = work_path(spark, "unsliced")
+    rows = materialize(df, "unsliced", path)
+    if slices is None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(least, -(-rows.count() // SLICE_ROWS))
+    numbered = rows.repartitionByRange(slices, key).withColumn("_slice", F.spark_partition_id())
+    out = materialize(numbered, "sliced")
+    delete_path(spark, path)
+    return out
 
 
 def running_total(
@@ -52,14 +43,11 @@ def running_total(
 ) -> DataFrame:
     """``sum(value) over (order by order_col rows unbounded preceding)`` for a unique,
     non-null ``order_col``."""
-    if slices is None:
-        slices = min(MAX_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    borders = slice_borders(df, order_col, slices)
-    cut = df.withColumn("_v", value).withColumn("_slice", slice_of(F.col(order_col), borders))
+    cut = sliced(df.withColumn("_v", value), order_col, slices)
+    # One row per slice here; the sums of the slices before each.
     before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(F.col("_slice").alias("_at")).agg(F.sum("_v").alias("_s"))
-        # At most MAX_SLICES rows from here on.
         .withColumn("_offset", F.coalesce(F.sum("_s").over(before), F.lit(0)))
         .drop("_s")
     )
@@ -68,7 +56,7 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        cut.join(F.broadcast(offsets), F.col("_slice") == F.col("_at"))
+        cut.join(offsets, F.col("_slice") == F.col("_at"))
         .withColumn(out, (F.sum("_v").over(within) + F.col("_offset")))
         .drop("_v", "_slice", "_at", "_offset")
     )
@@ -129,9 +117,6 @@ def top_n_per_row(
     """
     numbered = row_numbers(candidates, candidate_key, "_pos").withColumn("_pos", F.col("_pos") - 1)
     total = int(candidates.count())
-    if total <= BROADCAST_ROWS:
-        # Few candidates mean few, hot join keys; their number has just been counted.
-        numbered = F.broadcast(numbered)
     take = F.least(F.col(n_col).cast("bigint"), F.lit(total))
     picks = rows.where(take > 0).withColumn(
         "pick", F.explode(F.sequence(F.lit(1).cast("bigint"), take))

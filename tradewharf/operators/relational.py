@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tradewharf.functions import in_period, safe_ratio
 
-#: Largest table that is broadcast after a count.
-BROADCAST_ROWS = 100_000
-
-
 def dedup_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -91,12 +87,11 @@ def rate_lookup(
     """Attach the effective fee and commission rate by product and date.
 
     Without ``tier_col`` every matching rate joins, so overlapping rates repeat the trade.
-    With it, a rate for the exact tier beats the default (NULL) tier, and each trade keeps
-    exactly one row; ``trades`` must then carry a unique ``_row`` column.
+    With it, a rate for the exact tier beats the default (NULL) tier, then the latest start
+    and the highest rate win, and each trade keeps exactly one row.
 
-    The equi key has only as many values as there are products, so the schedule is counted
-    and broadcast; a schedule too long for that falls back to a join on product and month,
-    with every rate repeated for the months it covers.
+    The schedule is resolved once per product, date (and tier) that occurs: as many rows as
+    there are days and products, however many trades. Trades then meet it on equal keys.
     """
     r = rates.select(
         F.col("product_type").alias("_product"),
@@ -106,33 +101,32 @@ def rate_lookup(
         F.col("effective_from").alias("_from"),
         F.col("effective_to").alias("_to"),
     )
-    small = broadcast_if_small(r)
-    keys = trades["product_type"] == r["_product"]
-    if small is r:
-        trades = trades.withColumn("_month", F.trunc(date_col, "MM"))
-        last = F.coalesce("_to", trades.agg(F.max(date_col)).scalar())
-        months = F.sequence(F.trunc("_from", "MM"), F.greatest(last, "_from"), F.expr("interval 1 month"))
-        small = r.withColumn("_rate_month", F.explode(months))
-        keys = (trades["product_type"] == small["_product"]) & (trades["_month"] == small["_rate_month"])
-    cond = keys & in_period(trades[date_col], small["_from"], small["_to"])
+    tier = F.lit(None).cast("string") if tier_col is None else F.col(tier_col)
+    asked = trades.select(
+        F.col("product_type").alias("_asked_product"), F.col(date_col).alias("_asked_date"),
+        tier.alias("_asked_tier"),
+    ).distinct()
+    cond = (asked["_asked_product"] == r["_product"]) & in_period(asked["_asked_date"], r["_from"], r["_to"])
     if tier_col is not None:
-        cond = cond & (small["_tier"].isNull() | (small["_tier"] == trades[tier_col]))
-    joined = trades.join(small, cond, "left").drop("_month", "_rate_month")
+        cond = cond & (r["_tier"].isNull() | (r["_tier"] == asked["_asked_tier"]))
+    found = asked.join(r, cond)
     if tier_col is not None:
-        # At most one row per rate in force meets here: a group is one trade.
-        w = Window.partitionBy("_row").orderBy(
-            F.col("_tier").isNull().asc(), F.col("_from").desc(), F.col("commission_rate").desc()
+        best = Window.partitionBy("_asked_product", "_asked_date", "_asked_tier").orderBy(
+            F.col("_tier").isNull().asc(), F.col("_from").desc(), F.col("commission_rate").desc(), F.col("fee_rate").desc()
         )
-        joined = joined.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return joined.drop("_product", "_tier", "_from", "_to")
+        found = found.withColumn("_rn", F.row_number().over(best)).where("_rn = 1")
+    found = found.select("_asked_product", "_asked_date", "_asked_tier", "fee_rate", "commission_rate")
+    same = (trades["product_type"] == found["_asked_product"]) & (trades[date_col] == found["_asked_date"])
+    if tier_col is not None:
+        same = same & trades[tier_col].eqNullSafe(found["_asked_tier"])
+    return trades.join(found, same, "left").drop("_asked_product", "_asked_date", "_asked_tier")
 
 
 def latest_slice(df: DataFrame, date_col: str, per: Sequence[str] = ()) -> DataFrame:
     """Rows of the single latest date, or of the latest date of each ``per`` group."""
     if not per:
         return df.where(F.col(date_col) == df.agg(F.max(date_col)).scalar())
-    # One row per group; with few groups a shuffle on the group would have few, hot keys.
-    last = broadcast_if_small(df.groupBy(*per).agg(F.max(date_col).alias("_last")))
+    last = df.groupBy(*per).agg(F.max(date_col).alias("_last"))
     return df.join(last, list(per)).where(F.col(date_col) == F.col("_last")).drop("_last")
 
 
@@ -158,12 +152,6 @@ def share_of_total(
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows;
-    otherwise leave the join to the optimizer."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     keys = parent.select(F.col(pk).alias("_pk"))

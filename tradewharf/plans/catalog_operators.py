@@ -295,9 +295,7 @@ def rate_lookup_tiered(t: DriverTables) -> DataFrame:
         {"broker_tier": F.lit("SENIOR"), "commission_rate": (F.col("commission_rate") + F.lit("0.1").cast("decimal(9,6)")).cast("decimal(9,6)")}
     )
     tiers = lake["dim_broker"].select("broker_code", F.col("broker_subtype").alias("tier"))
-    trades = lake["int_all_trades"].join(tiers, "broker_code").withColumn(
-        "_row", F.concat_ws(":", "product_type", F.col("trade_id").cast("string"))
-    )
+    trades = lake["int_all_trades"].join(tiers, "broker_code")
     out = relational.rate_lookup(trades, default.unionByName(senior), tier_col="tier")
     return out.select("product_type", "trade_id", "tier", "commission_rate")
 
