@@ -83,6 +83,7 @@ def rate_lookup(
     rates: DataFrame,
     date_col: str = "trade_date",
     tier_col: str | None = None,
+    days_from: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the effective fee and commission rate by product and date.
 
@@ -92,6 +93,7 @@ def rate_lookup(
 
     The schedule is resolved once per product, date (and tier) that occurs: as many rows as
     there are days and products, however many trades. Trades then meet it on equal keys.
+    ``days_from`` is a cheaper table with at least the same products, dates and tiers.
     """
     r = rates.select(
         F.col("product_type").alias("_product"),
@@ -102,7 +104,7 @@ def rate_lookup(
         F.col("effective_to").alias("_to"),
     )
     tier = F.lit(None).cast("string") if tier_col is None else F.col(tier_col)
-    asked = trades.select(
+    asked = (trades if days_from is None else days_from).select(
         F.col("product_type").alias("_asked_product"), F.col(date_col).alias("_asked_date"),
         tier.alias("_asked_tier"),
     ).distinct()

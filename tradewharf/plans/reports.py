@@ -45,7 +45,7 @@ def broker_commission_revenue(trades: DataFrame, brokers: DataFrame, rates: Data
     unit = brokers.select(
         "broker_code", "broker_name", "department_id", "department_name", "branch_id", "branch_name"
     )
-    rated = rate_lookup(per_day.join(unit, "broker_code"), rates)
+    rated = rate_lookup(per_day.join(unit, "broker_code"), rates, days_from=trades)
     return rated.groupBy(
         "trade_date", "product_type", "broker_code", "broker_name", "department_id",
         "department_name", "branch_id", "branch_name",
