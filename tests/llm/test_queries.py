@@ -54,6 +54,23 @@ def test_edge_sharding(edge_docs, no_docs):
     assert sorted(sharding.report(edge_docs).columns) == ["doc_id", "grown_shard", "law", "shard", "size", "slot", "text_crc32"]
 
 
+def test_sharding_against_brute_force(spark):
+    """Sizes and checksums by zlib, counts at most one apart, slots gapless, the same on a second run."""
+    import zlib
+
+    docs = base.table(spark, SF_DIR, "documents")
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    out = catalog.op2_sharding(spark, SF_DIR).toPandas()
+    assert sorted(out.doc_id) == sorted(texts) and set(out.law) == {"rows"}
+    for r in out.itertuples():
+        assert (r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id]))
+    slots = out.groupby("shard").slot.apply(sorted)
+    assert all(s == list(range(len(s))) for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
+    again = sharding.report(docs.repartition(5)).toPandas()
+    place = lambda df: df.set_index("doc_id")[["shard", "slot"]].sort_index()
+    assert place(out).equals(place(again))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 97, 1009, 4096])
 def test_permutation_is_a_bijection(spark, n):
     rows = sharding.permute(spark.range(n).withColumnRenamed("id", "x"), "x", n, "y").collect()
@@ -196,6 +213,17 @@ def test_edge_html(spark):
     assert html_text.report(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_html_deep_pages_stay_linear():
+    """100,000 nested containers and as many stray end tags; equal subtrees hash alike at any depth."""
+    import time
+
+    start, deep = time.time(), "<div>" * 100_000 + "x" + "</div>" * 100_000 + "</b>" * 100_000 + "<p>y"
+    assert html_text.extract(deep) == "x\ny" and len(html_text.container_hashes(html_text.tree(deep))) == 100_000
+    assert time.time() - start < 30
+    one, two = (html_text.container_hashes(html_text.tree(t)) for t in ("<div><ul>a  b</ul></div>", "<p>z<section><ul>a<!-- c --> b</ul>"))
+    assert len(one & two) == 1
+
+
 def test_html_furniture_and_templates(spark):
     page = '<nav>menu</nav><div class="side-bar sidebar">s</div><main><h1>T{0}</h1><div>house rules</div><p>same words</p><p>own {0} &lt;b&gt;<br>x</p><div id="comments">c</div><form>f</form></main><footer>z</footer>'
     rows = [(i, "http://host.example/a", page.format(i)) for i in range(20)] + [(99, "http://other.example/", page.format(99))]

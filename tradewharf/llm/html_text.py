@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -59,10 +60,10 @@ _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "furniture", "children")
+    __slots__ = ("tag", "furniture", "children", "digest")
 
     def __init__(self, tag: str, furniture: bool = False) -> None:
-        self.tag, self.furniture, self.children = tag, furniture, []
+        self.tag, self.furniture, self.children, self.digest = tag, furniture, [], None
 
 
 def _is_furniture(tag: str, attributes: str) -> bool:
@@ -86,6 +87,12 @@ def tree(source: str) -> Node:
     comments and declarations are left out, the end of a cut page closes everything."""
     root = Node("#")
     stack, at, end = [root], 0, len(source)
+    opened: Counter[str] = Counter()
+
+    def close(depth: int) -> None:
+        opened.subtract(n.tag for n in stack[depth:])
+        del stack[depth:]
+
     while at < end:
         m = _TOKEN.search(source, at)
         if m is None:
@@ -97,9 +104,11 @@ def tree(source: str) -> Node:
         closing, opening = m[1], m[2]
         if closing:
             name = closing.lower()
-            if any(n.tag == name for n in stack[1:]):
-                while stack.pop().tag != name:
-                    pass
+            if opened[name] > 0:
+                depth = len(stack) - 1
+                while stack[depth].tag != name:
+                    depth -= 1
+                close(depth)
             elif name in ("p", "br"):
                 stack[-1].children.append(Node("br"))
         elif opening:
@@ -111,9 +120,9 @@ def tree(source: str) -> Node:
                 while depth and stack[depth].tag in _INLINE:
                     depth -= 1
                 if depth and (stack[depth].tag in closes or (stack[depth].tag == "p" and name in _ENDS_P)):
-                    del stack[depth:]
+                    close(depth)
                     while stack[-1].tag in closes and stack[-1].tag != "p" and name != "li":
-                        stack.pop()
+                        close(len(stack) - 1)
             node = Node(name, _is_furniture(name, m[3] or ""))
             stack[-1].children.append(node)
             if name in _VOID or (m[3] or "").rstrip().endswith("/"):
@@ -123,6 +132,7 @@ def tree(source: str) -> Node:
                 at = stop.end() if stop else end
                 continue
             stack.append(node)
+            opened[name] += 1
     return root
 
 
@@ -166,21 +176,23 @@ def _blocks(nodes: list[Node], template: frozenset[bytes]) -> Iterator[str]:
     yield from flush()
 
 
-def _flat(node: Node) -> str:
-    """Shape and text of a subtree, white space folded."""
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(_SPACES.sub(" ", x))
-        else:
-            out.append(f"<{x.tag}>")
-            stack.extend(reversed([*x.children, "</>"]))
-    return "".join(out)
-
-
 def _hash(node: Node) -> bytes:
-    return hashlib.blake2b(_flat(node).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    """Hash of shape and text of a subtree, white space folded. It is made from the hashes of
+    the children and kept, so a page costs as much as it is long, however deep it is."""
+    stack = [node]
+    while stack:
+        x = stack[-1]
+        if x.digest is None:
+            open_ones = [c for c in x.children if isinstance(c, Node) and c.digest is None]
+            if open_ones:
+                stack.extend(open_ones)
+                continue
+            made = hashlib.blake2b(f"<{x.tag}>".encode("utf-8", "surrogatepass"), digest_size=8)
+            for c in x.children:
+                made.update(_SPACES.sub(" ", c).encode("utf-8", "surrogatepass") if isinstance(c, str) else b"<>" + c.digest)
+            x.digest = made.digest()
+        stack.pop()
+    return node.digest
 
 
 def container_hashes(root: Node) -> set[bytes]:
