@@ -45,6 +45,16 @@ def test_edge_decontamination(spark, edge_docs, no_docs):
     assert _columns(decontamination.clean_documents(edge_docs, items)) == _columns(edge_docs)
 
 
+def test_items_beyond_one_block_take_further_passes(spark):
+    """Many small automata in turn find what one finds, also where windows of two blocks overlap."""
+    docs, items = (base.table(spark, SF_DIR, t) for t in ("documents", "benchmark"))
+    names = ["doc_id", "n_words", "n_hit", "item_ids", "hit_starts", "hit_ends"]
+    one = decontamination.decontaminate(docs, items).select(names)
+    many = decontamination.decontaminate(docs, items, block_bytes=2_000).select(names)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert one.where("n_hit > 0").count() > 0
+
+
 def test_edge_sharding(edge_docs, no_docs):
     out = sharding.assign(edge_docs, 4).toPandas()
     assert len(out) == edge_docs.count() and sharding.assign(no_docs).count() == 0
