@@ -40,6 +40,17 @@ judged as (select ch.*, row_number() over (partition by ch.customer_code, effect
   from ch left join d_cbh h on h.customer_code = ch.customer_code and h.is_current)"""
 
 
+def changed(history: str, attrs: str, first: str, second: str) -> str:
+    """A history after one change per customer in 2010 and one in 2020 for odd keys; those of
+    1990 lie before the open version and are refused."""
+    return f"""with ch as (
+  select {code('KH', 'c_custkey')} as customer_code, date '2010-01-01' + cast(c_custkey % 100 as integer) as starts, {first}, c_custkey % 2 = 1 as odd from customer)
+select h.customer_code, {attrs}, h.valid_from, if(h.is_current, (select starts - 1 from ch where ch.customer_code = h.customer_code), h.valid_to) as valid_to,
+  false as is_current from {history} h
+union all select customer_code, {attrs}, starts, if(odd, date '2020-05-31', null), not odd from ch
+union all select customer_code, {second}, date '2020-06-01', null, true from ch where odd"""
+
+
 def union(parts: list[str]) -> str:
     return "\nunion all\n".join(parts)
 
@@ -252,6 +263,11 @@ OPERATOR_SQL: dict[str, str] = {
   timestamp '2030-01-01 00:00:00' as _loaded_at from events""",
     "backfill_idempotent": f"""select o_orderkey, 'orders/dt=' || strftime(o_orderdate, '%Y-%m-01') || '/part-0000.parquet' as _file_name,
   case when o_orderdate < {CUT} then 1 else 2 end as load_no from orders""",
+    "backfill_changed_files": f"""with o as (select o_orderkey, cast(o_totalprice as decimal(20,2)) as total, o_orderdate < {CUT} as early,
+    'orders/dt=' || strftime(o_orderdate, '%Y-%m-%d') as _file_name, o_orderkey % 50 = 0 as fixed from orders)
+select o_orderkey, total, _file_name, 1 as load_no from o where early
+union all select o_orderkey, cast(if(fixed, total + 1, total) as decimal(20,2)), _file_name, 2 from o
+where not early or _file_name < 'orders/dt=1993' or _file_name in (select _file_name from o where fixed)""",
     "parse_json_props": "select event_id, cast(json_extract_string(props, '$.k') as integer) as k from events",
     "full_refresh_dim": "select broker_code, broker_name, is_active from d_broker",
     "lake_partitioned_write": "select event_id, cast(value as decimal(20,2)) as value, cast(ts as date) as execution_date from events",
@@ -460,6 +476,9 @@ union all
 select customer_code, broker_code, effective_date, lead(effective_date) over w - 1, lead(effective_date) over w is null
 from judged where ok window w as (partition by customer_code order by effective_date)""",
     "scd2_rejected_changes": f"with {CHANGES}\nselect customer_code, seq, effective_date, broker_code from judged where not ok",
+    "scd2_risk_changes": changed("d_risk", "investor_classification, risk_level",
+        "'PROFESSIONAL' as investor_classification, 'HIGH' as risk_level", "'NON_PROFESSIONAL', 'MEDIUM'"),
+    "scd2_segment_changes": changed("d_segment", "segment", "'PRIORITY' as segment", "'VIP'"),
     "scd2_audit": f"""with h as (select customer_code, valid_from, valid_to, is_current from d_cbh
   union all select {code('KH', 'c_custkey')}, case when c_custkey % 2 = 0 then date '1996-05-01' else date '1990-01-01' end,
     case when c_custkey % 3 = 0 then date '1990-06-30' else date '1996-12-31' end, c_custkey % 7 = 0 from customer),
@@ -494,4 +513,19 @@ where nx <= effective_to + 1""",
         ALL_MISSING + ALL_DUPLICATES + ALL_COMBOS + ALL_ACCEPTED + ALL_ORPHANS + ALL_ROWS + ALL_BOUNDS
         + ALL_FRESH + ALL_ANOMALIES
     ),
+    # The first run captures one open version per customer.
+    "refresh_job": union(
+        ALL_MISSING + ALL_DUPLICATES + ALL_COMBOS + ALL_ACCEPTED + ALL_ORPHANS + ALL_ROWS + ALL_BOUNDS + ALL_ANOMALIES
+        + [freshness(t, "2002-01-01 00:00:00") for t in FACTS]
+        + [entry("dim_customer_history", "missing", c, "select 0 as o") for c in ("customer_code", "valid_from")]
+        + [entry("snap_customer_profile", "missing", c, "select 0 as o") for c in ("version_id", "customer_code")]
+        + [
+            duplicates("dim_customer_history", "customer_code,valid_from", src="(select customer_code, date '2002-01-01' as valid_from from m_customer)"),
+            duplicates("snap_customer_profile", "version_id", src="(select md5(customer_code || '|2002-01-01 00:00:00') as version_id from m_customer)"),
+        ]
+        + [
+            entry(t, "row_count", "", "select count(*) as o from m_customer", "case when o > 0 then 'pass' else 'fail' end")
+            for t in ("dim_customer_history", "snap_customer_profile")
+        ]
+    ),
 }

@@ -134,6 +134,24 @@ def backfill_idempotent(t: DriverTables) -> DataFrame:
     )
 
 
+@query
+def backfill_changed_files(t: DriverTables) -> DataFrame:
+    """A second delivery of everything: new files, files with a corrected row, and files whose
+    ledger entry is older than 64 days are loaded, all others are skipped."""
+    orders = t.read("orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(20,2)").alias("total"),
+        F.concat(F.lit("orders/dt="), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("_file_name"),
+    )
+    content = ["o_orderkey", "total"]
+    first = orders.where(F.col("o_orderdate") < F.lit(CUT))
+    age = F.when(F.col("file_name") < "orders/dt=1993", 100).otherwise(10)
+    ledger = files.file_ledger(first, content, moment(LOADED_AT)).withColumn("loaded_at", F.expr("loaded_at") - F.make_dt_interval(days=age))
+    fixed = F.when(F.col("o_orderkey") % 50 == 0, F.col("total") + 1).otherwise(F.col("total"))
+    again = orders.withColumn("total", fixed.cast("decimal(20,2)"))
+    second = files.load_new_files(again, ledger, columns=content, as_of=LOADED_AT)
+    return first.withColumn("load_no", F.lit(1)).unionByName(second.withColumn("load_no", F.lit(2))).drop("o_orderdate")
+
+
 @query
 def parse_json_props(t: DriverTables) -> DataFrame:
     parsed = t.read("events").select("event_id", F.try_parse_json("props").alias("raw"))
@@ -944,6 +962,39 @@ def scd2_rejected_changes(t: DriverTables) -> DataFrame:
     return scd2.scd2_rejected(history, _broker_changes(t), "customer_code", "effective_date")
 
 
+def _customer_changes(t: DriverTables, fields: str, late: str, first: str, second: str) -> DataFrame:
+    """A change per customer in 2010, a second one for odd keys, and one that is too early for
+    every fifth; each sets all ``fields``."""
+    def change(seq: int, day: str, values: str, when: str) -> str:
+        named = ", ".join(f"'{f}', '{v}'" for f, v in zip(fields.split(), values.split()))
+        return f"case when {when} then named_struct('seq', {seq}, 'effective_date', {day}, {named}) end"
+
+    rows = ", ".join([
+        change(1, "date_add(date'2010-01-01', cast(c_custkey % 100 as int))", first, "true"),
+        change(2, "date'2020-06-01'", second, "c_custkey % 2 = 1"),
+        change(3, "date'1990-01-01'", late, "c_custkey % 5 = 0"),
+    ])
+    return t.pick(
+        "customer",
+        "concat('KH', lpad(cast(c_custkey as string), greatest(10, length(cast(c_custkey as string))), '0')) as customer_code",
+        f"inline(filter(array({rows}), x -> x is not null))",
+    )
+
+
+@query
+def scd2_risk_changes(t: DriverTables) -> DataFrame:
+    """Classification and risk level change together: one version holds both."""
+    fields = "investor_classification risk_level"
+    changes = _customer_changes(t, fields, "PROFESSIONAL LOW", "PROFESSIONAL HIGH", "NON_PROFESSIONAL MEDIUM")
+    return scd2.scd2_apply(t.lake()["stg_common__customer_risk_profile"], changes, "customer_code", fields.split(), "effective_date")
+
+
+@query
+def scd2_segment_changes(t: DriverTables) -> DataFrame:
+    changes = _customer_changes(t, "segment", "RETAIL", "PRIORITY", "VIP")
+    return scd2.scd2_apply(t.lake()["stg_common__customer_segment_history"], changes, "customer_code", ["segment"], "effective_date")
+
+
 @query
 def scd2_audit(t: DriverTables) -> DataFrame:
     """Audit of a history that got overlapping and gapped rows on top."""

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewharf.functions import flag, month_start, safe_ratio, struct_rows
+from tradewharf.functions import flag, safe_ratio, struct_rows
 from tradewharf.operators.relational import latest_slice, pit_join, rate_lookup, window_total
 from tradewharf.registry import model
 
@@ -587,6 +587,36 @@ def commission_rollup(commission: DataFrame) -> DataFrame:
     )
 
 
+@_report("commission_calendar", ["rpt_broker_commission_revenue", "dim_date"])
+def commission_calendar(commission: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Commission per calendar week, month and quarter, by product and branch.
+
+    Days are summed before they meet the calendar. A week belongs to the day it starts on, so
+    one that crosses the year's end is whole.
+    """
+    daily = commission.groupBy("trade_date", "product_type", "branch_id").agg(
+        F.sum("trade_amount").alias("_amount"),
+        F.sum("fee_revenue").alias("_fee"),
+        F.sum("broker_commission_amount").alias("_commission"),
+    )
+    day = F.col("date_key")
+    span = struct_rows(
+        ["period", "no", "start"],
+        (F.lit("WEEK"), F.col("week_of_year"), F.trunc(day, "week")),
+        (F.lit("MONTH"), F.col("month"), F.trunc(day, "month")),
+        (F.lit("QUARTER"), F.col("quarter"), F.trunc(day, "quarter")),
+    )
+    dated = daily.join(calendar, F.col("trade_date") == day).withColumn("p", F.explode(span))
+    return dated.groupBy(
+        F.col("p.period").alias("period"), F.col("p.no").alias("period_no"), F.col("p.start").alias("period_start"),
+        "product_type", "branch_id",
+    ).agg(
+        F.sum("_amount").alias("trade_amount"),
+        F.sum("_fee").alias("fee_revenue"),
+        F.sum("_commission").alias("broker_commission_amount"),
+    )
+
+
 @_report("foreign_net_flow", ["fact_equity_trade", "stg_common__customer"])
 def foreign_net_flow(trades: DataFrame, customers: DataFrame) -> DataFrame:
     """Bought, sold and net value per day and residency of the customer.
@@ -659,10 +689,3 @@ def compliance_summary(brokers, alerts, complaints) -> DataFrame:
             safe_ratio(F.col("_days"), F.col("_resolved")).alias("avg_resolution_days"),
         )
     )
-
-
-def broker_month_revenue(trades: DataFrame) -> DataFrame:
-    """Fee revenue per broker and month."""
-    return trades.groupBy("broker_code", month_start(F.col("trade_date")).alias("trade_month")).agg(
-        F.sum("fee_amount").alias("fee_revenue")
-    )

@@ -124,10 +124,43 @@ def require_streams(available: Iterable[str]) -> tuple[str, ...]:
     return SELECTED_STREAMS
 
 
-def load_new_files(df: DataFrame, ledger: DataFrame, file_col: str = "_file_name") -> DataFrame:
-    """Rows of files the ledger does not list yet. The ledger has one row per file."""
-    seen = ledger.select(F.col("file_name").alias("_seen"))
-    return df.join(seen, F.col(file_col) == F.col("_seen"), "left_anti")
+def file_ledger(
+    df: DataFrame, columns: Sequence[str], loaded_at: Column, file_col: str = "_file_name"
+) -> DataFrame:
+    """One row per file: file_name, checksum of its rows' ``columns``, loaded_at.
+
+    The checksum has the row count and the sum of the row hashes, so it does not depend on the
+    order of the rows and is summed up before the shuffle.
+    """
+    rows = F.count(F.lit(1)).cast("string")
+    total = F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
+    return df.groupBy(F.col(file_col).alias("file_name")).agg(F.concat_ws("-", rows, total).alias("checksum")).withColumn(
+        "loaded_at", loaded_at
+    )
+
+
+def load_new_files(
+    df: DataFrame,
+    ledger: DataFrame,
+    file_col: str = "_file_name",
+    columns: Sequence[str] = (),
+    as_of: dt.datetime | None = None,
+    keep_days: int = 64,
+) -> DataFrame:
+    """Rows of files the ledger does not list yet. The ledger has one row per load of a file.
+
+    With ``columns`` a file counts as listed only under the same checksum (see ``file_ledger``),
+    so a file that was sent again with other content is loaded again, as a whole. With
+    ``as_of`` entries older than ``keep_days`` are forgotten.
+    """
+    if as_of is not None:
+        ledger = ledger.where(F.col("loaded_at") >= F.lit(as_of - dt.timedelta(days=keep_days)))
+    if not columns:
+        seen = ledger.select(F.col("file_name").alias("_seen")).distinct()
+        return df.join(seen, F.col(file_col) == F.col("_seen"), "left_anti")
+    sent = file_ledger(df, columns, F.lit(None).cast("timestamp_ntz"), file_col).drop("loaded_at")
+    wanted = sent.join(ledger.select("file_name", "checksum"), ["file_name", "checksum"], "left_anti")
+    return df.join(wanted.select(F.col("file_name").alias("_wanted")), F.col(file_col) == F.col("_wanted"), "left_semi")
 
 
 def landing_profile(
