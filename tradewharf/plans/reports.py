@@ -288,18 +288,18 @@ def customer_dormant(
 @_report("rpt_position_concentration_risk", ["fact_position_daily", "dim_account"])
 def position_concentration_risk(positions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Share of each position in its customer's day total, and the firm-wide holding."""
-    owner = accounts.select("product_type", "account_id", "customer_code")
+    owner = accounts.select("product_type", "account_id", "customer_code").where("customer_code is not null")
     owned = positions.join(owner, ["product_type", "account_id"]).select(
         "position_date", "product_type", "instrument_id", "customer_code", "market_value"
     )
+    # Both totals come from the positions, so neither waits for the other's join.
     day_total = owned.groupBy("customer_code", "position_date").agg(
         F.sum("market_value").alias("customer_total_market_value")
     )
-    with_total = owned.join(day_total, ["customer_code", "position_date"])
     firm = window_total(
-        with_total, "market_value", ["position_date", "product_type", "instrument_id"],
+        owned, "market_value", ["position_date", "product_type", "instrument_id"],
         "firm_wide_market_value_in_instrument",
-    )
+    ).join(day_total, ["customer_code", "position_date"])
     return firm.select(
         "position_date", "product_type", "instrument_id", "customer_code", "market_value",
         "customer_total_market_value",
