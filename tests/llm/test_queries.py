@@ -169,6 +169,48 @@ def test_near_dedup_against_brute_force(spark):
     assert got == expected and len({c for _, c in expected.values()}) < len(texts) - 10
 
 
+def _brute_kept(texts, k):
+    """The smallest id of each component on shingles of ``k`` words."""
+    sets, root = {}, {}
+    for i, t in texts:
+        words = t.translate({c: c + 32 for c in range(65, 91)}).split()
+        sets[i] = {tuple(words[n : n + k]) for n in range(max(1, len(words) - k + 1))} if words else set()
+        root[i] = i
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b]) if a < b else 0
+            if common and 100 * common >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {find(i) for i in sets}
+
+
+def test_pipeline_stage_compares_five_words(spark):
+    """Texts between 0.8 on four words and 0.8 on five stay apart in the pipeline and meet in op8."""
+    import random
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(5))
+    texts = []
+    for edits in (1, 2, 3) * 8:
+        now = [word() for _ in range(rng.choice([60, 90, 110]))]
+        texts.append(" ".join(now))
+        for at in rng.sample(range(6, len(now) - 6), edits):
+            now[at] = word()
+        texts.append(" ".join(now))
+    numbered = list(enumerate(texts))
+    four, five = (_brute_kept(numbered, k) for k in (4, 5))
+    docs = spark.createDataFrame(numbered, "doc_id long, text string")
+    assert {r.doc_id for r in near_dedup.report(docs).where("kept").collect()} == four
+    assert {r.doc_id for r in corpus_pipeline.keep_one_copy(spark, docs, "").collect()} == five and five > four
+
+
 def test_edge_site_quality(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(3, 1), (5, 0), (5, 1), (None, 1), (6, None)], "doc_id long, quality int")
     assert site_quality.classify(edge_docs, labels).count() == edge_docs.count()

@@ -15,7 +15,7 @@ meet, and no proposed link between different components goes untested.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,8 @@ from pyspark.sql.window import Window
 from tradewharf.llm.base import Scratch, row_key
 from tradewharf.llm.graph import components
 
-SHINGLE = 4
+#: Words of a shingle: op8's contract fixes four; the pipeline's stage has none and takes five.
+SHINGLE, STAGE_SHINGLE = 4, 5
 PERCENT = 80
 PERMUTATIONS, BANDS = 64, 32
 #: Bytes of text hashed at once.
@@ -63,9 +64,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of each text's shingles: runs of four words, or the whole
-    sequence of fewer. A hash is a polynomial of the run's bytes, taken from prefix sums."""
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles: runs of ``words`` words, or the
+    whole sequence of fewer. A hash is a polynomial of the run's bytes, taken from prefix sums."""
     rows = [b" ".join((t or "").encode().translate(_LOWER).split()) for t in texts]
     out: list[np.ndarray] = []
     for row in rows:
@@ -78,7 +79,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
         blanks = np.flatnonzero(data == 32)
         starts = np.concatenate(([0], blanks + 1))
         ends = np.concatenate((blanks, [len(data)]))
-        k = min(SHINGLE, len(starts))
+        k = min(words, len(starts))
         starts, ends = starts[: len(starts) - k + 1], ends[k - 1 :]
         hashes = (sums[ends] - sums[starts]) * _power("down", len(data))[starts]
         out.append(np.unique(_mix(hashes + (ends - starts).astype(np.uint64))))
@@ -116,29 +117,38 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(rows.astype(np.int64).ravel()))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, keys = batch.column("doc_id"), batch.column("_tw_text")
-        texts = batch.column("text").to_pylist()
-        for a, b in _chunks([len(t or "") for t in texts]):
-            sets = shingle_sets(texts[a:b])
-            n = np.array([len(s) for s in sets], np.int64)
-            sums, bands = (np.zeros((b - a, k), np.uint64) for k in (2, BANDS))
-            if n.any():
-                sums[n > 0], bands[n > 0] = signatures([s for s in sets if len(s)])
-            signed = sums.astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), keys.slice(a, b - a), pa.array(n), pa.array(signed[:, 0].copy()), pa.array(signed[:, 1].copy()), _lists(bands)],
-                names=["doc_id", "_tw_text", "n", "s1", "s2", "bands"],
-            )
-
-
-def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for a, b in _chunks([len(t or "") for t in texts]):
-            sets = pa.array([s.tobytes() for s in shingle_sets(texts[a:b])], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), sets], names=["doc_id", "_tw_set"])
+Batches = Iterator[pa.RecordBatch]
+
+
+def _sign(words: int) -> Callable[[Batches], Batches]:
+    def sign(batches: Batches) -> Batches:
+        for batch in batches:
+            ids, keys = batch.column("doc_id"), batch.column("_tw_text")
+            texts = batch.column("text").to_pylist()
+            for a, b in _chunks([len(t or "") for t in texts]):
+                sets = shingle_sets(texts[a:b], words)
+                n = np.array([len(s) for s in sets], np.int64)
+                sums, bands = (np.zeros((b - a, k), np.uint64) for k in (2, BANDS))
+                if n.any():
+                    sums[n > 0], bands[n > 0] = signatures([s for s in sets if len(s)])
+                signed = sums.astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(a, b - a), keys.slice(a, b - a), pa.array(n), pa.array(signed[:, 0].copy()), pa.array(signed[:, 1].copy()), _lists(bands)],
+                    names=["doc_id", "_tw_text", "n", "s1", "s2", "bands"],
+                )
+
+    return sign
+
+
+def _to_sets(words: int) -> Callable[[Batches], Batches]:
+    def to_sets(batches: Batches) -> Batches:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in _chunks([len(t or "") for t in texts]):
+                sets = pa.array([s.tobytes() for s in shingle_sets(texts[a:b], words)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), sets], names=["doc_id", "_tw_set"])
+
+    return to_sets
 
 
 def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +173,9 @@ def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
 
 
-def full_sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
+def full_sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Shingle sets of the given documents, from their texts."""
-    return texts.join(ids, "doc_id").mapInArrow(_to_sets, SET_SCHEMA)
+    return texts.join(ids, "doc_id").mapInArrow(_to_sets(words), SET_SCHEMA)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -214,11 +224,11 @@ def across_parts(parts: DataFrame, spots: DataFrame, sets: DataFrame, scratch: S
     return rest.alias("l").join(others.alias("r"), F.expr(f"l.shingle = r.shingle and {like}")).select("a", "b").distinct()
 
 
-def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, scratch: Scratch, words: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, _tw_text, n, rep; links between reps: a, b) of all rows with an id."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     keyed = texts.withColumn("_tw_text", row_key(F.col("text")))
-    signed = scratch.cut(keyed.mapInArrow(_sign, SIGNATURE_SCHEMA), "signatures")
+    signed = scratch.cut(keyed.mapInArrow(_sign(words), SIGNATURE_SCHEMA), "signatures")
     name = ["s1", "s2", "n"]
     reps = signed.where("n > 0").groupBy(*name).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     reps = scratch.cut(reps, "reps")
@@ -230,7 +240,7 @@ def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     spots = scratch.cut(spots.join(buckets.select("spot", "lead"), "spot"), "spots")
     firsts = scratch.cut(spots.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), "firsts")
     ids = spots.select(F.col("rep").alias("doc_id")).distinct()
-    sets = scratch.cut(full_sets(ids, texts), "sets")
+    sets = scratch.cut(full_sets(ids, texts, words), "sets")
     links = scratch.cut(confirm(firsts, sets), "links")
     pairs = across_parts(components(links, scratch, "part"), spots, sets, scratch)
     tested = firsts.select("a", "b").unionByName(firsts.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -239,14 +249,15 @@ def classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return members, links.unionByName(more)
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, _tw_text, n_shingles, component_id, kept: one row per row of ``docs``.
+def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = SHINGLE) -> DataFrame:
+    """doc_id, _tw_text, n_shingles, component_id, kept: one row per row of ``docs``, compared on
+    shingles of ``words`` words.
 
     A text without words has no shingles and is linked with nothing. Rows without a doc_id are
     linked with nothing, have no component and are kept. doc_id is taken to be unique; equal
     rows share a component. No rows give no rows.
     """
-    members, links = classes(docs, scratch)
+    members, links = classes(docs, scratch, words)
     found = components(links, scratch, "whole")
     out = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "_tw_text", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
@@ -259,10 +270,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out.unionByName(unnamed)
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
+def filter_documents(docs: DataFrame, words: int = STAGE_SHINGLE) -> DataFrame:
     """One document of each group, with its own columns; of equal rows one stays."""
     scratch = Scratch(docs.sparkSession, "near-dedup")
-    kept = near_duplicates(docs, scratch).where("kept and doc_id is not null").select(F.col("doc_id").alias("_tw_id"), "_tw_text").distinct()
+    kept = near_duplicates(docs, scratch, words).where("kept and doc_id is not null").select(F.col("doc_id").alias("_tw_id"), "_tw_text").distinct()
     kept = scratch.cut(kept.withColumnRenamed("_tw_text", "_tw_kept"), "kept")
     keyed = docs.withColumn("_tw_text", row_key(F.col("text")))
     joined = keyed.join(kept, (keyed.doc_id == kept._tw_id) & (keyed._tw_text == kept._tw_kept))
@@ -272,4 +283,4 @@ def filter_documents(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document with its set size, component and whether it stays."""
-    return near_duplicates(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "near-dedup")).drop("_tw_text")
+    return near_duplicates(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "near-dedup"), SHINGLE).drop("_tw_text")
