@@ -3,8 +3,10 @@
 Every document gets counts; integer features of them go into quantile sketches per language
 and source. A sketch is a histogram whose buckets keep the six leading bits of a value, so it
 is deterministic, off by at most one part in 32, and merged by adding counts. A rule's bound is
-a fence around the group's quartiles; groups too small for quartiles use the sketch of their
-language, merged from its groups, or of the corpus. The bounds are joined back to the documents.
+a fence around the group's quartiles, SPREAD interquartile ranges and a constant of the feature
+away; on the given tables the constant is the larger part everywhere (README). Groups too small
+for quartiles use the sketch of their language, merged from its groups, or of the corpus. The
+bounds are joined back to the documents.
 """
 
 from __future__ import annotations
