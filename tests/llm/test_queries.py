@@ -328,3 +328,51 @@ def test_pipeline_stages(spark):
             assert docs.columns == columns
     assert sizes[0] >= sizes[1] >= sizes[2] and sizes[3] == sizes[4] > 0
     assert docs.select("shard", "slot").distinct().count() == sizes[4]
+
+
+def _brute_places(rows, n_shards=sharding.SHARDS, seed=sharding.SEED):
+    """(doc_id, shard, slot) of rows (doc_id, text) in plain Python, by the law of the docstrings."""
+    import hashlib
+    import zlib
+
+    def number(row):
+        i, t = row[0], (row[1] or "").encode()
+        return int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % sharding.BLOCKS, i, len(t), zlib.crc32(t)
+
+    n, prime, out = len(rows), sharding.PRIME, []
+    a, b = sharding.factors(n)
+    for x, (i, _) in enumerate(sorted(rows, key=number)):
+        at = x
+        while True:
+            left, right = at % a, at // a
+            for r, (m, k0, k1, k2) in enumerate(sharding.round_keys(seed)):
+                t = ((left if r % 2 else right) * (m % 2_097_152) + k0) % prime
+                for c in (k1, k2):
+                    t = (t * t + c) % prime
+                left, right = (left, (right + t) % b) if r % 2 else ((left + t) % a, right)
+            at = right * a + left
+            if at < n:
+                break
+        out.append((i, at % n_shards, at // n_shards))
+    return sorted(out)
+
+
+def test_pipeline_stages_against_brute_force(spark, con):
+    """The ids each stage returns: by DuckDB's statement on the stage's own input for rules,
+    decontamination and mixing, in plain Python for near-duplicates and places."""
+    docs, scratch, ids = base.table(spark, SF_DIR, "documents"), base.Scratch(spark, "t"), lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+    statements = {0: "select doc_id from ({}) where kept", 2: "select doc_id from ({}) where not contaminated", 3: "select doc_id from (select doc_id, unnest(range(epochs)) from ({}))"}
+    sql = {0: quality_rules.SQL, 2: decontamination.SQL, 3: mixing.SQL}
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        given = docs.select("doc_id", "text", "lang", "source").toPandas()
+        docs = scratch.cut(stage(spark, docs, SF_DIR), f"brute{k}")
+        if k in sql:
+            own = con.cursor()
+            own.register("stage_input", given)
+            own.execute("create or replace temp view documents as select * from stage_input")
+            assert ids(docs) == sorted(r[0] for r in own.execute(statements[k].format(sql[k])).fetchall()), k
+        elif k == 1:
+            assert ids(docs) == sorted(_brute_kept(list(zip(given.doc_id, given.text)), 5)) and docs.count() < len(given)
+        else:
+            got = sorted((r.doc_id, r.shard, r.slot) for r in docs.select("doc_id", "shard", "slot").collect())
+            assert got == _brute_places(list(zip(given.doc_id, given.text)))
