@@ -2,9 +2,12 @@
 
 Entities are found by patterns, named by a canonical form, and get keyed surrogates of the same
 type: digits for digits, letters of the same case and script, valid check digits, given names of
-the gender the title tells. All mentions of an entity get its surrogate; two entities of a type
-never share one, and none is a real entity of the corpus: collisions are found by aggregates
-over the entity table and drawn again until none is left.
+the gender the title tells. All mentions that a pattern finds get their entity's surrogate; two
+entities of a type never share one, and none is a real entity of the corpus: collisions are found
+by aggregates over the entity table and drawn again until none is left.
+
+A name is found directly after one of the titles below only. The bare "Smith" that follows "Mr.
+John Smith", and names after other titles (Dr, Prof) or none, stay in clear.
 """
 
 from __future__ import annotations
