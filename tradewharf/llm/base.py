@@ -6,6 +6,9 @@ replaced by it; other extra columns are passed on. Names starting with ``_tw_``
 
 from __future__ import annotations
 
+import re
+
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,11 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*columns)
 
 
+def file_system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a folder's URI (file, hdfs, s3, ...) as tasks see it, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", folder))
+
+
 class Scratch:
     """Lineage cuts of one job: written tables in the shared work folder, dropped when done.
 
@@ -46,7 +54,10 @@ class Scratch:
         return materialize(df, label, self._paths[label])
 
     def folder(self, label: str) -> str:
-        self._paths[label] = work_path(self.spark, f"{self.job}-{label}")
+        """A new folder, with the scheme and authority that Spark resolves its path to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(work_path(self.spark, f"{self.job}-{label}"))
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self._paths[label] = fs.makeQualified(path).toString()
         return self._paths[label]
 
     def drop(self, *labels: str) -> None:

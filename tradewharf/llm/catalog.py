@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, warc
+from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, token_shards, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,13 +53,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
 
+def op11_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 OPERATORS = (
     op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates,
-    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, pipeline,
+    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, op11_token_shards, pipeline,
 )
 
 
