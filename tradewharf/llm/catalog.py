@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, token_shards, warc
+from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, token_shards, vector_codes, warc
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,13 +57,18 @@ def op11_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.report(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 OPERATORS = (
     op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates,
-    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, op11_token_shards, pipeline,
+    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, op11_token_shards, op13_vector_codes,
+    pipeline,
 )
 
 
@@ -78,4 +83,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc": warc.SQL,
         "op10_chat": chat.SQL,
         "op7_mixing": mixing.SQL,
+        "op13_vector_codes": vector_codes.SQL,
     }
