@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tradewharf.llm import chat, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality, token_shards, vector_codes, warc
+from tradewharf.llm import (
+    chat, conversation_repair, decontamination, html_text, mixing, near_dedup, pii, quality_rules, sharding, site_quality,
+    token_shards, vector_codes, warc,
+)
 from tradewharf.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +60,10 @@ def op11_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.report(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
@@ -67,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_decontamination, op2_sharding, op3_quality_rules, op4_html_extraction, op5_warc, op6_pii_surrogates,
-    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, op11_token_shards, op13_vector_codes,
+    op7_mixing, op8_near_dedup, op9_site_quality, op10_chat, op11_token_shards, op12_conversation_repair, op13_vector_codes,
     pipeline,
 )
 
