@@ -44,8 +44,9 @@ class Grammar:
 
 def _frequent(keys: np.ndarray, least: int) -> np.ndarray:
     """Places whose key may occur ``least`` times: all that do, and few others. Counts per hash
-    bucket leave out the rest, so that only frequent keys are grouped exactly."""
-    bits = max(len(keys) * 4 - 1, 1).bit_length()
+    bucket leave out the rest, so that only frequent keys are grouped exactly. Few buckets stay in
+    the processor's cache; there are enough of them that one holds a fraction of ``least``."""
+    bits = max(len(keys) * 4 // least, 1).bit_length()
     bucket = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
     bucket = bucket.astype(np.int64)
     return np.flatnonzero(np.bincount(bucket, minlength=1 << bits)[bucket] >= least)
@@ -82,7 +83,7 @@ def compress(symbols: np.ndarray, first: int, least: int, barrier: int | None =
     while len(at):
         if barrier is not None:
             at = at[(s[at] != barrier) & (s[at + 1] != barrier)]
-        keys = s[at] * count + s[at + 1]
+        keys = s[at] * count + s[at + 1] if len(at) < len(s) - 1 else s[:-1] * count + s[1:]
         found = _frequent(keys, least)
         at, keys = at[found], keys[found]
         codes, pairs = pd.factorize(keys)

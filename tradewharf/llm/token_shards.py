@@ -33,24 +33,28 @@ from tradewharf.llm.base import Scratch, file_system
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Ids in a shard, and the places a rule has to replace.
-SHARD_IDS, LEAST = 1 << 20, 16
+SHARD_IDS, LEAST = 1 << 19, 16
 #: Every so many symbols the id position is stored.
 SAMPLE = 256
 #: Text bytes a writing task gets, and ids a reading task gets.
 TASK_BYTES, TASK_IDS = 32_000_000, 16_000_000
 #: Words whose ids a worker remembers, twice over; characters looked up at once.
-KNOWN_WORDS, CHUNK_BYTES = 300_000, 4_000_000
+KNOWN_WORDS, CHUNK_BYTES = 400_000, 16_000_000
 #: Words whose ids are put together at once.
 BLOCK_WORDS = 1 << 18
 
+#: Between an ASCII letter and punctuation other than apostrophe and bar a space goes in.
+CUT = (r"([a-z])([!-&(-/:-@\[-`{}~])", r"\1 \2")
+
 PIECES = "array<struct<at: long, length: long, first: long, n: long>>"
 INDEX_SCHEMA = f"doc_id long, part int, start long, n_tokens long, file string, pieces {PIECES}"
 
 
 class Encoder:
-    """Ids of whole texts. The tokenizer splits at white space before anything else, so a text's
-    ids are those of its words between spaces and line ends, and each word is encoded once while
-    it is remembered."""
+    """Ids of whole texts. The tokenizer takes lower case, and no token reaches across white space
+    or from an ASCII letter into punctuation. So a text's ids are those of its words, cut there,
+    and each word is encoded once while it is remembered. Apostrophes begin contractions and bars
+    belong to the tokenizer's control strings: at these nothing is cut."""
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -86,7 +90,8 @@ class Encoder:
             row = past
 
     def _chunk(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        lower = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        split = pc.split_pattern(pc.replace_substring_regex(lower, *CUT), " ")
         seen = split.flatten().dictionary_encode()
         parts = [*self._ids(seen.dictionary.to_pylist()), array("I", [end_id]).tobytes()]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
@@ -94,13 +99,18 @@ class Encoder:
         word = seen.indices.to_numpy(zero_copy_only=False)
         offsets = split.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
         offsets = offsets - offsets[0]
-        for lo, hi in zip(offsets[:-1], offsets[1:]):
-            out = []
-            for at in range(lo, hi, BLOCK_WORDS):
-                w = word[at : min(at + BLOCK_WORDS, hi)]
-                n = sizes[w]
-                out.append(flat[np.repeat(begins[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-            yield np.concatenate([*out, flat[-1:]])
+        # The end id is one more word after each text.
+        word = np.insert(word, offsets[1:], len(parts) - 1)
+        ids = []
+        for at in range(0, len(word), BLOCK_WORDS):
+            w = word[at : at + BLOCK_WORDS]
+            n = sizes[w]
+            ids.append(flat[np.repeat(begins[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        after = np.cumsum(sizes[word])[offsets[1:] + np.arange(len(offsets) - 1)]
+        whole, before = np.concatenate(ids) if ids else flat[:0], 0
+        for end in after.tolist():
+            yield whole[before:end]
+            before = end
 
 
 _ENCODERS: dict[int, Encoder] = {}
