@@ -39,9 +39,9 @@ SAMPLE = 256
 #: Text bytes a writing task gets, and ids a reading task gets.
 TASK_BYTES, TASK_IDS = 32_000_000, 16_000_000
 #: Words whose ids a worker remembers, twice over; characters looked up at once.
-KNOWN_WORDS, CHUNK_BYTES = 400_000, 16_000_000
+KNOWN_WORDS, CHUNK_BYTES = 250_000, 4_000_000
 #: Words whose ids are put together at once.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 16
 
 #: Between an ASCII letter and punctuation other than apostrophe and bar a space goes in.
 CUT = (r"([a-z])([!-&(-/:-@\[-`{}~])", r"\1 \2")
@@ -87,6 +87,7 @@ class Encoder:
             past = int(np.searchsorted(ends, (ends[row - 1] if row else 0) + CHUNK_BYTES, "right"))
             past = max(past, row + 1)
             yield from zip(range(row, past), self._chunk(texts.slice(row, past - row), end_id))
+            pa.default_memory_pool().release_unused()  # else each chunk's peak stays with the worker
             row = past
 
     def _chunk(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
