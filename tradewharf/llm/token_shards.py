@@ -39,12 +39,12 @@ SAMPLE = 256
 #: Text bytes a writing task gets, and ids a reading task gets.
 TASK_BYTES, TASK_IDS = 32_000_000, 16_000_000
 #: Words whose ids a worker remembers, twice over; characters looked up at once.
-KNOWN_WORDS, CHUNK_BYTES = 250_000, 4_000_000
+KNOWN_WORDS, CHUNK_BYTES = 450_000, 6_000_000
 #: Words whose ids are put together at once.
 BLOCK_WORDS = 1 << 16
 
-#: Between an ASCII letter and punctuation other than apostrophe and bar a space goes in.
-CUT = (r"([a-z])([!-&(-/:-@\[-`{}~])", r"\1 \2")
+#: Between a letter and ASCII punctuation other than apostrophe and bar a space goes in.
+CUT = (r"(\pL)([!-&(-/:-@\[-`{}~])", r"\1 \2")
 
 PIECES = "array<struct<at: long, length: long, first: long, n: long>>"
 INDEX_SCHEMA = f"doc_id long, part int, start long, n_tokens long, file string, pieces {PIECES}"
@@ -52,7 +52,7 @@ INDEX_SCHEMA = f"doc_id long, part int, start long, n_tokens long, file string,
 
 class Encoder:
     """Ids of whole texts. The tokenizer takes lower case, and no token reaches across white space
-    or from an ASCII letter into punctuation. So a text's ids are those of its words, cut there,
+    or from a letter into ASCII punctuation. So a text's ids are those of its words, cut there,
     and each word is encoded once while it is remembered. Apostrophes begin contractions and bars
     belong to the tokenizer's control strings: at these nothing is cut."""
 
