@@ -1,10 +1,12 @@
 """Operators on hand-made rows: nulls, ties, boundaries, hot keys, brute-force comparisons."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 from types import SimpleNamespace
 
 import pytest
+import tiny
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -12,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tradewharf import session
 from tradewharf.functions import flag, in_period, pad_code, safe_ratio
-from tradewharf.operators import calendars, generators, ordering, quality, relational
+from tradewharf.operators import calendars, distinct, generators, hierarchy, ordering, quality, relational
 from tradewharf.operators.hierarchy import chain_revenue, manager_chain
 from tradewharf.plans.dims import calendar_dim, default_calendar_bounds
-from tradewharf.registry import MODELS, dependency_order, layer_schema
+from tradewharf.registry import MODELS, Lake, dependency_order, layer_schema
 from tradewharf.schemas import LANDED, PASSTHROUGH
 from tradewharf.sources import files
 
@@ -323,6 +325,59 @@ def test_manager_chain_has_no_depth_limit(spark):
     assert manager_chain(people).where("id_number = '0'").count() == 70
 
 
+def _walk(people):
+    """(id, level, manager id) by following codes one by one."""
+    by_code = {}
+    for i, code, manager in people:
+        if code is not None and (code not in by_code or i < by_code[code][0]):
+            by_code[code] = (i, manager)
+    out = []
+    for i, code, manager in people:
+        seen = {code} if code is not None and by_code[code] == (i, manager) else set()
+        level = 1
+        while manager in by_code and manager not in seen:
+            seen.add(manager)
+            out.append((i, level, by_code[manager][0]))
+            manager, level = by_code[manager][1], level + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_manager_chain_against_walks(spark, seed):
+    """Random registries: loops of all lengths, tails into them, repeated, missing and unknown codes."""
+    rng = random.Random(seed)
+    n = [12, 40, 60, 60][seed]
+    people = [(f"i{i:03d}", f"c{rng.randrange(n) if seed % 2 else i}", f"c{rng.randrange(n + 3)}") for i in range(n)]
+    people += [("x1", None, "c1"), ("x2", None, None), ("x3", "c1", "c2"), ("x3", "c1", "c5"), ("loop", "L", "L"), ("below", "B", "L")]
+    got = sorted(tuple(r) for r in manager_chain(_people(spark, *people)).select("id_number", "chain_level", "manager_id_number").collect())
+    assert got == sorted(_walk(people))
+
+
+def test_thousand_levels_take_ten_rounds(spark, monkeypatch):
+    tables, real = [], hierarchy.materialize
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, label: (tables.append(label), real(df, label))[1])
+    people = _people(spark, *[(f"{i:04d}", f"c{i}", f"c{i + 1}") for i in range(1001)], ("boss", "c1001", "c1001"))
+    chain = manager_chain(people)
+    assert chain.where("id_number = '0000'").agg(F.max("chain_level")).first()[0] == 1001
+    assert sum(t.startswith("chain-") and t[6:].isdigit() for t in tables) <= 11
+
+
+def test_distinct_words(spark):
+    ids = [None, 0, 1, 63, 64, -1, -64, -65, 2**62, -(2**63), 2**63 - 1, 1, 64]
+    df = spark.createDataFrame([(i % 2, x, f"{i % 3}") for i, x in enumerate(ids)] + [(None, 5, None), (7, None, "a")], "g int, id bigint, s string")
+    out = distinct.distinct_counts(df, ["g"], {"ids": "id", "texts": "s"})
+    want = df.groupBy("g").agg(F.count_distinct("id").alias("ids"), F.count_distinct("s").alias("texts"))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    words = distinct.id_words(df, ["g"], "id")
+    assert distinct.count_words(words, [], "ids").first().ids == 11
+
+
+@pytest.mark.parametrize("name", ["rpt_department_branch_ranking", "commission_calendar", "commission_rollup"])
+def test_distinct_counts_do_not_expand(spark, name, capsys):
+    Lake(spark, tiny.sources(spark))[name].explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_manager_chain_of_nobody(spark):
     assert manager_chain(_people(spark, ("1", "A", None))).count() == 0
 

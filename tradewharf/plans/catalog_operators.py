@@ -21,6 +21,7 @@ from tradewharf.functions import (
     safe_ratio,
 )
 from tradewharf.operators import calendars, generators, ordering, quality, relational, scd2
+from tradewharf.operators.distinct import distinct_counts
 from tradewharf.operators.hierarchy import chain_revenue, manager_chain
 from tradewharf.operators.incremental import (
     append_columns,
@@ -459,11 +460,9 @@ def agg_sum(t: DriverTables) -> DataFrame:
 
 @query
 def agg_multi_distinct(t: DriverTables) -> DataFrame:
-    return t.lake()["int_all_trades"].groupBy("product_type", month_start(F.col("trade_date")).alias("month")).agg(
-        F.count_distinct("trade_id").alias("trades"),
-        F.count_distinct("customer_code").alias("customers"),
-        F.count_distinct("broker_code").alias("brokers"),
-    )
+    rows = t.lake()["int_all_trades"].withColumn("month", month_start(F.col("trade_date")))
+    counted = {"trades": "trade_id", "customers": "customer_code", "brokers": "broker_code"}
+    return distinct_counts(rows, ["product_type", "month"], counted)
 
 
 @query

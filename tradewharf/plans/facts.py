@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewharf.operators.distinct import id_words
 from tradewharf.operators.relational import union_tagged
 from tradewharf.registry import model
 from tradewharf.schemas import LANDED_BY_STAGED
@@ -116,3 +117,9 @@ def int_all_trades(equity: DataFrame, derivatives: DataFrame, oef: DataFrame) ->
     """Common grain of the three trade facts, cut to the shared columns before the union."""
     parts = [f.select(*COMMON_TRADE) for f in (equity, derivatives, oef)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@model("int_trade_id_words", LAYER, ["int_all_trades"], materialized="view")
+def int_trade_id_words(trades: DataFrame) -> DataFrame:
+    """The set of trade ids per day, product and broker: what roll-ups count distinct trades from."""
+    return id_words(trades, ["trade_date", "product_type", "broker_code"], "trade_id")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewharf.functions import flag, safe_ratio, struct_rows
+from tradewharf.operators.distinct import BITS, WORD, count_values, count_words, id_words, merge_words, side_by_side
 from tradewharf.operators.relational import latest_slice, pit_join, rate_lookup, window_total
 from tradewharf.registry import model
 
@@ -59,23 +60,29 @@ def broker_commission_revenue(trades: DataFrame, brokers: DataFrame, rates: Data
 
 @_report("rpt_department_branch_ranking", ["int_all_trades", "dim_broker"])
 def department_branch_ranking(trades: DataFrame, brokers: DataFrame) -> DataFrame:
+    """Trades, customers, turnover and fees per month, unit and product.
+
+    Trades become sets of ids per month and broker, customers one row per month and broker they
+    dealt with; only these meet the brokers. The two counts are separate aggregates.
+    """
     unit = brokers.select(
         "broker_code", "branch_id", "branch_name", "department_id", "department_name"
     )
-    return (
-        trades.join(unit, "broker_code")
-        .groupBy(
-            F.year("trade_date").alias("trade_year"),
-            F.month("trade_date").alias("trade_month"),
-            "branch_id", "branch_name", "department_id", "department_name", "product_type",
-        )
-        .agg(
-            F.count_distinct("trade_id").alias("trade_count"),
-            F.count_distinct("customer_code").alias("active_customer_count"),
-            F.sum("amount").alias("trade_amount"),
-            F.sum("fee_amount").alias("fee_revenue"),
-        )
-    )
+    own = ["trade_year", "trade_month", "product_type", "broker_code"]
+    by = [
+        "trade_year", "trade_month", "branch_id", "branch_name", "department_id", "department_name", "product_type",
+    ]
+    dated = trades.withColumns({"trade_year": F.year("trade_date"), "trade_month": F.month("trade_date")})
+    money = ["trade_amount", "fee_revenue"]
+    words = id_words(dated, own, "trade_id", {"trade_amount": F.col("amount"), "fee_revenue": F.col("fee_amount")})
+    customers = dated.select(*own, "customer_code").distinct()
+    return side_by_side(
+        [
+            count_words(words.join(unit, "broker_code"), by, "trade_count", money),
+            count_values(customers.join(unit, "broker_code"), by, "customer_code", "active_customer_count"),
+        ],
+        by,
+    ).select(*by, "trade_count", "active_customer_count", *money)
 
 
 @_report("department_rank", ["rpt_department_branch_ranking"])
@@ -550,20 +557,21 @@ def management_override_effective(
     return _override(rated, departments, branches, employees)
 
 
-@_report("commission_rollup", ["rpt_broker_commission_revenue"])
-def commission_rollup(commission: DataFrame) -> DataFrame:
-    """Commission per quarter, rolled up broker, department, branch, firm.
+@_report("commission_rollup", ["rpt_broker_commission_revenue", "int_trade_id_words", "dim_broker"])
+def commission_rollup(commission: DataFrame, words: DataFrame, brokers: DataFrame) -> DataFrame:
+    """Commission and distinct trades per quarter, rolled up broker, department, branch, firm.
 
-    Brokers are summed per quarter first; the roll-up expands those sums, not the days.
+    Brokers are summed per quarter first; the roll-up expands those sums, not the days. Trades
+    are counted from the sets of ids, which merge along the same levels.
     """
-    quarterly = commission.groupBy(
-        F.year("trade_date").alias("year"), F.quarter("trade_date").alias("quarter"), "branch_id",
-        "department_id", "broker_code",
-    ).agg(
+    year, quarter = F.year("trade_date").alias("year"), F.quarter("trade_date").alias("quarter")
+    quarterly = commission.groupBy(year, quarter, "branch_id", "department_id", "broker_code").agg(
         F.sum("trade_amount").alias("_amount"),
         F.sum("fee_revenue").alias("_fee"),
         F.sum("broker_commission_amount").alias("_commission"),
     )
+    ids = merge_words(words.select("*", year, quarter), ["year", "quarter", "broker_code"])
+    ids = ids.join(brokers.select("broker_code", "department_id", "branch_id"), "broker_code")
     branch, department, broker = F.col("branch_id"), F.col("department_id"), F.col("broker_code")
     no_id, no_code = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     unit = struct_rows(
@@ -573,32 +581,36 @@ def commission_rollup(commission: DataFrame) -> DataFrame:
         (F.lit("BRANCH"), branch, no_id, no_code),
         (F.lit("FIRM"), no_id, no_id, no_code),
     )
-    return (
-        quarterly.withColumn("u", F.explode(unit))
-        .groupBy(
+    by = ["year", "quarter", "level", "branch_id", "department_id", "broker_code"]
+
+    def levels(df: DataFrame, *kept: str) -> DataFrame:
+        return df.withColumn("u", F.explode(unit)).select(
             "year", "quarter", F.col("u.level").alias("level"), F.col("u.b").alias("branch_id"),
-            F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"),
-        )
-        .agg(
-            F.sum("_amount").alias("trade_amount"),
-            F.sum("_fee").alias("fee_revenue"),
-            F.sum("_commission").alias("broker_commission_amount"),
+            F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"), *kept,
         )
+
+    sums = levels(quarterly, "_amount", "_fee", "_commission").groupBy(*by).agg(
+        F.sum("_amount").alias("trade_amount"),
+        F.sum("_fee").alias("fee_revenue"),
+        F.sum("_commission").alias("broker_commission_amount"),
     )
+    return side_by_side([sums, count_words(levels(ids, WORD, BITS), by, "trade_count")], by)
 
 
-@_report("commission_calendar", ["rpt_broker_commission_revenue", "dim_date"])
-def commission_calendar(commission: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Commission per calendar week, month and quarter, by product and branch.
+@_report("commission_calendar", ["rpt_broker_commission_revenue", "dim_date", "int_trade_id_words", "dim_broker"])
+def commission_calendar(commission: DataFrame, calendar: DataFrame, words: DataFrame, brokers: DataFrame) -> DataFrame:
+    """Commission and distinct trades per calendar week, month and quarter, by product and branch.
 
-    Days are summed before they meet the calendar. A week belongs to the day it starts on, so
-    one that crosses the year's end is whole.
+    Days are summed, and their sets of trade ids merged, before they meet the calendar. A week
+    belongs to the day it starts on, so one that crosses the year's end is whole.
     """
     daily = commission.groupBy("trade_date", "product_type", "branch_id").agg(
         F.sum("trade_amount").alias("_amount"),
         F.sum("fee_revenue").alias("_fee"),
         F.sum("broker_commission_amount").alias("_commission"),
     )
+    ids = words.join(brokers.select("broker_code", "branch_id"), "broker_code")
+    ids = merge_words(ids, ["trade_date", "product_type", "branch_id"])
     day = F.col("date_key")
     span = struct_rows(
         ["period", "no", "start"],
@@ -606,15 +618,20 @@ def commission_calendar(commission: DataFrame, calendar: DataFrame) -> DataFrame
         (F.lit("MONTH"), F.col("month"), F.trunc(day, "month")),
         (F.lit("QUARTER"), F.col("quarter"), F.trunc(day, "quarter")),
     )
-    dated = daily.join(calendar, F.col("trade_date") == day).withColumn("p", F.explode(span))
-    return dated.groupBy(
-        F.col("p.period").alias("period"), F.col("p.no").alias("period_no"), F.col("p.start").alias("period_start"),
-        "product_type", "branch_id",
-    ).agg(
+    by = ["period", "period_no", "period_start", "product_type", "branch_id"]
+
+    def dated(df: DataFrame, *kept: str) -> DataFrame:
+        return df.join(calendar, F.col("trade_date") == day).withColumn("p", F.explode(span)).select(
+            F.col("p.period").alias("period"), F.col("p.no").alias("period_no"), F.col("p.start").alias("period_start"),
+            "product_type", "branch_id", *kept,
+        )
+
+    sums = dated(daily, "_amount", "_fee", "_commission").groupBy(*by).agg(
         F.sum("_amount").alias("trade_amount"),
         F.sum("_fee").alias("fee_revenue"),
         F.sum("_commission").alias("broker_commission_amount"),
     )
+    return side_by_side([sums, count_words(dated(ids, WORD, BITS), by, "trade_count")], by)
 
 
 @_report("foreign_net_flow", ["fact_equity_trade", "stg_common__customer"])

@@ -26,3 +26,36 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     prefix = f"{column}="
     names = [status.getPath().getName() for status in fs.listStatus(p)]
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where there is no folder."""
+    fs, p = _fs(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder to a place that is free; the folder above is made."""
+    fs, p = _fs(spark, source)
+    _, to = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
