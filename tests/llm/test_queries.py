@@ -1,6 +1,7 @@
 """Registered queries against their statements, and the operators on awkward rows."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -270,9 +271,9 @@ def test_html_deep_pages_stay_linear():
     import time
 
     start, deep = time.time(), "<div>" * 100_000 + "x" + "</div>" * 100_000 + "</b>" * 100_000 + "<p>y"
-    assert html_text.extract(deep) == "x\ny" and len(html_text.container_hashes(html_text.tree(deep))) == 100_000
+    assert html_text.extract(deep) == "x\ny" and len(html_text.block_hashes(html_text.tree(deep))) == 100_001
     assert time.time() - start < 30
-    one, two = (html_text.container_hashes(html_text.tree(t)) for t in ("<div><ul>a  b</ul></div>", "<p>z<section><ul>a<!-- c --> b</ul>"))
+    one, two = (html_text.block_hashes(html_text.tree(t)) for t in ("<div><ul>a  b</ul></div>", "<p>z<section><ul>a<!-- c --> b</ul>"))
     assert len(one & two) == 1
 
 
@@ -285,6 +286,103 @@ def test_html_furniture_and_templates(spark):
     assert got[99] == "T99\nhouse rules\nsame words\nown 99 <b>\nx"
 
 
+def test_html_keeps_what_is_article():
+    """Attributes by whole names, furniture by whole class names of containers, comments left out."""
+    cases = {
+        '<div style="overflow:hidden"><p>Body text</p></div>': "Body text",
+        'See <a href="/the-hidden-city">this book</a> now.': "See this book now.",
+        'x <a href="/p?id=menu">y</a><div data-id="header"><p>z</p></div>': "x y\nz",
+        '<div id="page" class="has-sidebar"><article><p>a</p></article></div>': "a",
+        '<div class="content no-sidebar"><article><p>a</p></article></div>': "a",
+        '<div class="content-with-sidebar"><p>a</p></div>': "a",
+        '<article><h2 id="search">Search algorithms</h2><p id="social">b</p></article>': "Search algorithms\nb",
+        '<article><p>a</p></article><article class="comment"><p>c</p></article>': "a",
+        '<article><p>a</p><section id="comments"><article><p>long comment</p></article></section></article>': "a",
+        "<article><header><h1>Title</h1></header><p>a</p><footer>f</footer></article>": "Title\na",
+        "<header><h1>Site</h1></header><article><p>a</p></article>": "a",
+        '<p class=x">Hello</p><a href="y">': "Hello",
+        "<p title='a>b' hidden>no</p><p title=\"hidden\">yes</p>": "yes",
+        '<div hidden>no</div><p style="color:red; display: none">no</p><div style="display:nonesuch">yes</div>': "yes",
+        "<a href=/x/>link</a> text": "link text",
+        '<div class="header"><article><p>the article</p></article></div>': "the article",
+        '<div class="related"><article>teaser</article></div><article><p>the longer article</p></article>': "the longer article",
+        '<div class="search-results"><p>most of the text is here</p></div><div class="footer"><p>f</p></div>': "most of the text is here",
+        '<p>main</p><p>text</p><div class="siteFooter"><p>f</p></div><ul id="main_nav"><li>m</ul>': "main\ntext",
+        "<p>&am<b>p;</b> &amp;lt; &#x41;": "&amp; &lt; A",
+    }
+    assert {k: html_text.extract(k) for k in cases} == cases
+
+
+def test_html_flat_pages_stay_linear():
+    import time
+
+    start = time.time()
+    assert len(html_text.extract("<p>x</p>" * 200_000)) == 399_999
+    assert time.time() - start < 20
+
+
+def _plain_main_text(source):
+    """The given pages by the standard library's parser: text of the article's h1 and p blocks."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        inside, blocks = 0, None
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "article":
+                self.inside, self.blocks = 1, []
+            elif tag not in html_text._INLINE:
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag not in html_text._INLINE:
+                self.cut()
+            if tag == "article":
+                self.inside = 0
+
+        def handle_data(self, data):
+            if self.inside:
+                self.line += data
+
+        line = ""
+
+        def cut(self):
+            text = " ".join(self.line.split())
+            if text and self.blocks is not None:
+                self.blocks.append(text)
+            self.line = ""
+
+    reader = Reader()
+    reader.feed(source)
+    reader.cut()
+    return "\n".join(reader.blocks or [])
+
+
+def test_html_query_against_a_plain_parser(spark):
+    pages = {r.page_id: r.html for r in base.table(spark, SF_DIR, "pages").collect()}
+    plain = {i: h for i, h in pages.items() if h and "<article" in h and not re.search("<(ul|form|aside|section|div)", h[h.index("<article") : h.find("</article")])}
+    got = {r.page_id: r.text for r in catalog.op4_html_extraction(spark, SF_DIR).collect()}
+    assert got.keys() == pages.keys() and len(plain) > 0.5 * len(pages)
+    assert {i: (got[i], _plain_main_text(h)) for i, h in plain.items() if got[i] != _plain_main_text(h)} == {}
+
+
+def test_html_counts_alone_remove_unmarked_templates(spark):
+    """Pages without article, classes or telling elements: what 400 pages share goes by the counts, also a block
+    on a tenth of them; what nine pages share, and other hosts' equal blocks, stay."""
+    def page(i):
+        part = "<p>only this section says so</p>" if i % 10 == 0 else ""
+        few = "<div>said by nine</div>" if i < 9 else ""
+        return f"<body><div>Home About Contact</div><p>Own text {i}.</p>{part}{few}<div><p>All rights reserved</p></div></body>"
+
+    rows = [(i, "http://big.example/a", page(i)) for i in range(400)] + [(1000, "http://small.example/", page(0))]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r.page_id: r.text for r in html_text.report(pages).collect()}
+    assert got[7] == "Own text 7.\nsaid by nine" and got[20] == "Own text 20." and got[399] == "Own text 399."
+    assert got[1000] == "Home About Contact\nOwn text 0.\nonly this section says so\nsaid by nine\nAll rights reserved"
+    counted = {r.n for r in html_text.templates(html_text.page_blocks(pages)).collect()}
+    assert counted == {400, 40}
+
+
 def test_edge_warc(spark):
     rows = [(1, None, None), (2, "http://a/\r\nX: y%0A", "ü" * 9), (3, "u", "ü" * 9), (None, "v", "ü" * 9), (4, "w", ""), (4, "w", ""), (5, "long", "x" * 3_000_000)]
     pages = spark.createDataFrame(rows, PAGES)
