@@ -28,13 +28,24 @@ def build_session(app: str = "tradewharf", master: str | None = None, **extra: s
 def work_root(spark: SparkSession) -> str:
     """Shared folder for state and lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests, it lies
-    below the warehouse, which every executor can reach too.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset it lies below the
+    warehouse. A warehouse on a machine's own disk will do for a session of one machine only;
+    elsewhere every executor would write to its own, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme == "file" and not one_machine(spark.sparkContext.master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: {root} is local to each machine")
+    return f"{root}/_work"
+
+
+def one_machine(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
 
 
 def run_folder(spark: SparkSession) -> str:
