@@ -259,6 +259,73 @@ def test_pii_surrogates_stay_distinct(spark):
     assert len({r.surrogate for r in out}) == 30 and not {r.surrogate for r in out} & {r.canon for r in out}
 
 
+def test_pii_many_names_and_full_formats_end(spark):
+    """A hundred thousand names and a half-full format of 100 values find distinct surrogates in a few rounds."""
+    names = spark.range(100_000).selectExpr("if(id % 3 = 0, 'family', if(id % 3 = 1, 'given_m', 'given_f')) as type", "concat('name', cast(id as string)) as canon")
+    ids = spark.range(60).selectExpr("'national_id' as type", "lpad(cast(id as string), 2, '0') as canon")
+    mails = spark.range(36).selectExpr("'email' as type", "concat(substr('abcdefghijklmnopqrstuvwxyz0123456789', cast(id as int) + 1, 1), '@b.co') as canon")
+    entities = names.unionByName(ids).unionByName(mails)
+    out = pii.surrogates(entities, base.Scratch(spark, "t"))
+    counted = out.groupBy("type").agg({"surrogate": "count", "*": "count"}).collect()
+    assert out.select("type", "surrogate").distinct().count() == out.count() == 100_096 and counted
+    assert out.where("type <> 'national_id'").join(entities.withColumnRenamed("canon", "surrogate"), ["type", "surrogate"]).count() == 0
+    assert out.where("type = 'national_id' and surrogate not rlike '^[0-9]{2}$'").count() == 0
+
+
+def test_pii_names_with_hyphens_and_valid_ibans(spark):
+    text = "Mr. Jean-Luc Picard met Mr O'Brien and Dr. Anna McCoy; IBAN DE89 3704 0044 0532 0130 00, GB82WEST12345698765432."
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    [out] = (r.text for r in pii.anonymise(docs).collect())
+    for gone in ("Jean", "Luc", "Picard", "Brien", "McCoy", "3704 0044", "WEST12345698765432"):
+        assert gone not in out
+    found = [m.replace(" ", "") for m in re.findall(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4})+(?: ?[A-Z0-9]{1,3})?\b", out)]
+    assert len(found) == 2 and all(int("".join(str(int(c, 36)) for c in f[4:] + f[:4])) % 97 == 1 for f in found)
+
+
+def _spans(text):
+    """(start, end, type) of the entities, by the same list of patterns in another engine."""
+    import regex
+
+    kinds = {t: regex.compile(p) for t, p in pii.PATTERNS.items()}
+    out = []
+    for m in regex.finditer(pii.ANY, text):
+        kind = next((t for t, p in kinds.items() if p.fullmatch(m[0])), None)
+        digits = re.sub("[^0-9]", "", m[0])
+        if kind == "card":
+            total = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(digits[::-1]))
+            if not 13 <= len(digits) <= 19 or total % 10:
+                kind = None
+        out.append((m.start(), m.end(), kind))
+    return out
+
+
+def test_pii_query_against_brute_force(spark):
+    """Outside the entities nothing changes; inside, every entity has one surrogate everywhere."""
+    texts = {r.doc_id: r.text or "" for r in base.table(spark, SF_DIR, "documents").collect()}
+    got = {r.doc_id: r for r in catalog.op6_pii_surrogates(spark, SF_DIR).collect()}
+    assert got.keys() == texts.keys()
+    used, changed = {}, 0
+    for doc_id, text in texts.items():
+        spans = _spans(text)
+        assert got[doc_id].n_entities == sum(k is not None for *_, k in spans)
+        parts, at = [], 0
+        for start, end, kind in spans:
+            parts += [re.escape(text[at:start]), "(.+?)" if kind else re.escape(text[start:end])]
+            at = end
+        parts.append(re.escape(text[at:]))
+        m = re.fullmatch("".join(parts), got[doc_id].text or "", re.S)
+        assert m, doc_id
+        for (start, end, kind), new in zip([s for s in spans if s[2]], m.groups()):
+            old = text[start:end]
+            assert new != old
+            changed += 1
+            if kind in ("ip", "cloud_key", "phone", "card", "national_id"):
+                canon = old if kind in ("ip", "cloud_key") else re.sub("[^0-9]", "", old)
+                shown = new if kind in ("ip", "cloud_key") else re.sub("[^0-9]", "", new)
+                assert used.setdefault((kind, canon), shown) == shown
+    assert changed > 10 and len({(k, v) for (k, _), v in used.items()}) == len(used)
+
+
 def test_edge_html(spark):
     rows = [(1, None, None), (2, "http://h/x", ""), (None, "no url", "<p>a&amp;b"), (4, "http://h/y", "<p>" + "x " * 50_000), (4, "http://h/y", "<<>>&#x41; <b")]
     got = [(r.page_id, r.text[:5], r.n_chars) for r in html_text.report(spark.createDataFrame(rows, PAGES)).collect()]

@@ -16,12 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewharf.llm.base import Scratch, row_key
+from tradewharf.operators.relational import union_frames
 
 #: A demonstration key. Real use passes a secret.
 KEY = "surrogate-key-1"
 
+#: Draws in which a surrogate may not be another entity's real value.
+REAL_TRIES = 8
+
 _MALE = "Mr|Herr|Monsieur|Señor|Sr|Signor|г-н|κ"
 _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|г-жа|κα"
+_NEUTRAL = "Dr|Prof|Doctor|Professor"
+_GIVEN = r"\p{Lu}\p{L}*(?:['’-]\p{L}+)*"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Type -> pattern, in the order of precedence.
 PATTERNS = {
@@ -34,11 +40,11 @@ PATTERNS = {
     "card": r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![0-9])",
     "phone": r"\+[0-9]{8,15}(?![0-9])|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE})\.?[ ]\p{{Lu}}\p{{Ll}}+(?:[ ]\p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.?[ ]{_GIVEN}\p{{Ll}}(?:[ ]{_GIVEN}\p{{Ll}})?(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A cheap test that every entity passes.
-HINT = rf"[0-9@]|AKIA|ASIA|(?i:pass|pwd|token|secret|key)\w{{0,5}}\s{{0,2}}[=:]|(?:{_MALE}|{_FEMALE})\.?[ ]\p{{Lu}}"
+HINT = rf"[0-9@]|AKIA|ASIA|(?i:pass|pwd|token|secret|key)\w{{0,5}}\s{{0,2}}[=:]|(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.?[ ]\p{{Lu}}"
 
 #: Syllables of surrogate names by script, and endings by gender.
 SYLLABLES = {
@@ -47,9 +53,9 @@ SYLLABLES = {
     "greek": ["βα", "δε", "φι", "γο", "λυ", "μα", "νε", "ρι", "σο", "τυ", "πα", "κε", "λι", "μο", "νυ", "ρα"],
 }
 ENDINGS = {
-    "latin": {"m": "n", "f": "na", "": "sen"},
-    "cyrillic": {"m": "н", "f": "на", "": "нко"},
-    "greek": {"m": "ς", "f": "να", "": "κης"},
+    "latin": {"m": "n", "f": "na", "": "sen", "n": "l"},
+    "cyrillic": {"m": "н", "f": "на", "": "нко", "n": "ль"},
+    "greek": {"m": "ς", "f": "να", "": "κης", "n": "λ"},
 }
 
 
@@ -87,7 +93,7 @@ def mentions(rows: DataFrame) -> DataFrame:
     each = each.withColumn("digits", F.regexp_replace("s", "[^0-9]", ""))
     each = each.withColumn("t", F.expr(f"if(t = 'card' and (length(digits) not between 13 and 19 or {luhn('digits')} <> 0), null, t)"))
     each = each.withColumns({
-        "gender": F.expr(f"case when t <> 'name' then '' when s rlike {_quoted(f'^(?:{_FEMALE})[. ]')} then 'f' else 'm' end"),
+        "gender": F.expr(f"case when t <> 'name' then '' when s rlike {_quoted(f'^(?:{_FEMALE})[. ]')} then 'f' when s rlike {_quoted(f'^(?:{_NEUTRAL})[. ]')} then 'n' else 'm' end"),
         "words": F.expr("if(t = 'name', split(s, ' '), null)"),
         "value": F.expr(
             "case when t in ('password', 'token') then regexp_extract(s, r'[=:]\\s{0,2}[\"\\x27]?(.*)$', 1) "
@@ -131,50 +137,70 @@ def _same_class(text: str) -> str:
 
 
 def _name(gender: str) -> str:
+    """SQL: three syllables and the gender's ending; two more syllables with each further draw."""
     def of(script: str) -> str:
         pool = ", ".join(f"'{s}'" for s in SYLLABLES[script])
-        draws = ", ".join(f"array({pool})[{_NUMBER.format(at=1 + 4 * k)} % 16]" for k in range(3))
+        draws = f"array_join(transform(sequence(0, 2 + 2 * least(attempt, 6)), k -> array({pool})[{_NUMBER.format(at='1 + 4 * k')} % 16]), '')"
         return f"concat({draws}, '{ENDINGS[script][gender]}')"
 
     return f"case when canon rlike r'\\p{{IsCyrillic}}' then {of('cyrillic')} when canon rlike r'\\p{{IsGreek}}' then {of('greek')} else {of('latin')} end"
 
 
+def mod97(text: str) -> str:
+    """SQL: ISO 7064 remainder of a string of digits and capitals; A is 10, Z is 35."""
+    value = "if(c rlike '[0-9]', (s * 10 + cast(c as int)) % 97, (s * 100 + ascii(c) - 55) % 97)"
+    return f"aggregate(split({text}, ''), 0, (s, c) -> if(c = '', s, {value}))"
+
+
 def _draw() -> str:
     """SQL: the surrogate of (type, canon, stream); it has the canonical form of its type."""
     same = _same_class("canon")
     octets = ", ".join(f"({1 if k in (0, 3) else 0} + {_NUMBER.format(at=1 + 4 * k)} % {223 if k == 0 else 254})" for k in range(4))
     card = f"concat(substr(canon, 1, 1), substr({same}, 2, length(canon) - 2))"
     number = f"concat(substr(canon, 1, 1), {1} + {_NUMBER.format(at=61)} % 9, substr({same}, 3))"
+    account = f"substr({same}, 5)"
+    iban = (
+        f"transform(array({account}), a -> concat(substr(canon, 1, 2), lpad(cast(98 - {mod97(f"concat(a, substr(canon, 1, 2), '00')")} as string), 2, '0'), a))[0]"
+    )
     return (
         f"case type when 'ip' then concat_ws('.', {octets}) "
         f"when 'card' then concat({card}, (10 - {luhn(card, 1)}) % 10) "
         f"when 'phone' then {number} when 'cloud_key' then concat(substr(canon, 1, 4), substr({same}, 5)) "
-        f"when 'iban' then concat(substr(canon, 1, 2), substr({same}, 3)) "
-        f"when 'email' then concat(substr({same}, 1, length(canon) - length(regexp_extract(canon, r'[^.]*$', 0))), regexp_extract(canon, r'[^.]*$', 0)) "
-        f"when 'given_m' then {_name('m')} when 'given_f' then {_name('f')} when 'family' then {_name('')} else {same} end"
+        f"when 'iban' then {iban} "
+        f"when 'email' then concat(substr('xyzw', 1, attempt div 4), substr({same}, 1, length(canon) - length(regexp_extract(canon, r'[^.]*$', 0))), regexp_extract(canon, r'[^.]*$', 0)) "
+        f"when 'given_m' then {_name('m')} when 'given_n' then {_name('n')} when 'given_f' then {_name('f')} when 'family' then {_name('')} else {same} end"
     )
 
 
 def surrogates(entities: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
     """type, canon, surrogate for distinct (type, canon).
 
-    Each round draws for all; of entities that share a surrogate the one with the fewest
-    attempts, then the smallest, keeps it, and whoever hit a real entity draws again. Settled
-    ones have the fewest attempts, so they stay. Both checks are joins and aggregates."""
-    now, label, step = scratch.cut(entities.withColumn("attempt", F.lit(0)), "attempt0"), "attempt0", 0
-    while True:
-        drawn = now.withColumn("stream", F.expr(_stream(key))).withColumn("surrogate", F.expr(_draw())).drop("stream")
+    Each round draws for the entities that are still open. Who draws what is settled, or what
+    another open entity with a smaller canon drew, or a real entity, draws again. The settled ones
+    are not touched again, so later rounds are small. All checks are joins and aggregates."""
+    open_ = scratch.cut(entities.withColumn("attempt", F.lit(0)), "open0")
+    settled, step = [], 0
+    real = entities.select(F.col("type").alias("_t"), F.col("canon").alias("_s"))
+    while not open_.isEmpty():
+        drawn = open_.withColumn("stream", F.expr(_stream(key))).withColumn("surrogate", F.expr(_draw())).drop("stream")
         drawn = scratch.cut(drawn, f"drawn{step}")
-        owner = drawn.groupBy("type", "surrogate").agg(F.min(F.struct("attempt", "canon")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        real = drawn.select("type", F.col("canon").alias("surrogate"), F.lit(True).alias("real"))
-        checked = drawn.join(owner.drop("n"), ["type", "surrogate"], "left").join(real, ["type", "surrogate"], "left")
-        again = F.expr("real is not null or (owner is not null and owner.canon <> canon)")
-        checked = scratch.cut(checked.select("type", "canon", "surrogate", "attempt", again.alias("again")), f"checked{step}")
-        scratch.drop(f"drawn{step}", label)
-        if checked.where("again").isEmpty():
-            return checked.select("type", "canon", "surrogate")
-        now = checked.select("type", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
-        label, step = f"checked{step}", step + 1
+        same = (F.col("type") == F.col("_t")) & (F.col("surrogate") == F.col("_s"))
+        owner = drawn.groupBy(F.col("type").alias("_t"), F.col("surrogate").alias("_s")).agg(F.min("canon").alias("_first"))
+        free = drawn.join(owner, same).where("canon = _first").drop("_t", "_s", "_first")
+        for table in settled:
+            taken = table.select(F.col("type").alias("_t"), F.col("surrogate").alias("_s"))
+            free = free.join(taken, same, "left_anti")
+        if step < REAL_TRIES:
+            free = free.join(real, same, "left_anti")
+        kept = scratch.cut(free.select("type", "canon", "surrogate"), f"settled{step}")
+        settled.append(kept)
+        left = drawn.join(kept.select(F.col("type").alias("_t"), F.col("canon").alias("_c")), (F.col("type") == F.col("_t")) & (F.col("canon") == F.col("_c")), "left_anti")
+        open_ = scratch.cut(left.select("type", "canon", (F.col("attempt") + 1).alias("attempt")), f"open{step + 1}")
+        scratch.drop(f"drawn{step}", f"open{step}")
+        step += 1
+        if len(settled) > 8:
+            settled = [scratch.cut(union_frames(settled), f"all{step}")]
+    return union_frames(settled) if settled else entities.withColumn("surrogate", F.col("canon"))
 
 
 def _rendered() -> Column:
