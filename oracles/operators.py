@@ -285,6 +285,12 @@ where not early or _file_name < 'orders/dt=1993' or _file_name in (select _file_
   coalesce(s.n, 0) = coalesce(t.n, 0) as is_equal
 from (select trade_date as d, count(*) as n from l_equity_trade group by 1) s
 full join (select trade_date as d, count(*) as n from s_equity_trade group by 1) t on t.d = s.d""",
+    "reconcile_content": """with s as (select source_system as sys, source_trade_id as id, trade_id as k, trade_date as d, amount as a from s_equity_trade),
+c as (select sys, id, k, case when k % 103 = 9 then d + 1 else d end as d, case when k % 101 = 7 then a + 1 else a end as a from s where k % 97 <> 5
+  union all select sys, 'NEW-' || id, k, d, a from s where k % 107 = 11)
+select ifnull(s.d, c.d) as day, ifnull(s.sys, c.sys) as source_system, ifnull(s.id, c.id) as source_trade_id,
+  case when c.id is null then 'missing' when s.id is null then 'extra' else 'changed' end as state
+from s full join c on (s.d, s.sys, s.id) = (c.d, c.sys, c.id) where s.id is null or c.id is null or s.a <> c.a""",
     # projections and predicates
     "stg_customer_no_pii": "select customer_code, customer_name, phone, email from d_customer",
     "star_except": """select * exclude (_loaded_at) from l_equity_trade
@@ -301,6 +307,9 @@ from l_equity_margin""",
     "pit_join": """select t.product_type, t.trade_id, t.trade_date, t.customer_code, h.broker_code as holder_code, h.valid_from
 from m_trades t left join d_cbh h on h.customer_code = t.customer_code and t.trade_date >= h.valid_from
   and (h.valid_to is null or t.trade_date <= h.valid_to)""",
+    "asof_join": """select product_type, trade_id, trade_date, t.customer_code, holder_code, valid_from
+from m_trades t left join lateral (select h.broker_code as holder_code, h.valid_from from d_cbh h
+  where h.customer_code = t.customer_code and t.trade_date between h.valid_from and ifnull(h.valid_to, date '9999-12-31')) on true""",
     "rate_lookup": """select t.product_type, t.trade_id, t.trade_date, f.fee_rate, f.commission_rate
 from m_trades t left join d_fee f on f.product_type = t.product_type and t.trade_date >= f.effective_from
   and (f.effective_to is null or t.trade_date <= f.effective_to)""",
@@ -396,7 +405,9 @@ from (select customer_code, row_number() over (order by customer_code) as rn fro
     "base_price": """select s.security_id, s.sector, cast(r.lo + (s.security_id * 37) % nullif(r.hi - r.lo, 0) as decimal(18,2)) as base_price
 from d_security s join (select p_type, min(p_size) as lo, max(p_size) as hi from part group by 1) r on r.p_type = s.sector""",
     "top_k": "select product_type, trade_id, amount from m_trades order by amount desc, product_type, trade_id limit 100",
-    "sample_n": "select c_custkey from customer order by (c_custkey * 7919) % 1000003, c_custkey limit 800",
+    "sample_n": "select c_custkey from customer order by md5('7/' || c_custkey) limit 800",
+    "sample_per_nation": """select c_custkey, c_nationkey from customer
+qualify row_number() over (partition by c_nationkey order by md5('7/' || c_custkey)) <= 5""",
     "first_by_key": "select broker_subtype, min(broker_code) as first_broker from d_broker group by 1",
     "ensure_class_present": """select broker_code, broker_subtype,
   case when broker_code = (select min(broker_code) from d_broker where broker_type = 'BROKER') then 'DESK_HEAD' else broker_subtype end as promoted

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewharf import session
 from tradewharf.functions import flag, in_period, pad_code, safe_ratio
-from tradewharf.operators import calendars, distinct, generators, hierarchy, ordering, quality, relational
+from tradewharf.operators import asof, calendars, distinct, generators, hierarchy, ordering, quality, relational
 from tradewharf.operators.hierarchy import chain_revenue, manager_chain
 from tradewharf.plans.dims import calendar_dim, default_calendar_bounds
 from tradewharf.registry import MODELS, Lake, dependency_order, layer_schema
@@ -541,3 +541,85 @@ def test_work_folder_is_the_sessions():
 
     assert at(checkpoint="hdfs://shared/ck/", warehouse="hdfs://wh") == "hdfs://shared/ck"
     assert at(warehouse="hdfs://wh/") == "hdfs://wh/_work"
+
+
+# -- merging in time, drawing, reconciling ---------------------------------------------------------
+
+
+@pytest.mark.parametrize("unit", ["week", "month", "year"])
+def test_asof_join_against_the_period_join(spark, unit):
+    """Random histories: gaps, open ends, overlaps of some entities, NULLs everywhere."""
+    rng = random.Random(unit)
+    first = dt.date(2020, 1, 1)
+    versions = []
+    for e in range(12):
+        day = first
+        for k in range(rng.randrange(0, 12)):
+            day += dt.timedelta(rng.randrange(1, 60))
+            end = day + dt.timedelta(rng.randrange(-1, 50))
+            versions.append((f"e{e}", day, rng.choice([end, end, end, None if e > 8 else end]), k))
+            day = end if e < 9 else day
+    versions += [(None, first, None, 1), ("e1", None, None, 1)]
+    events = [(rng.choice([*(f"e{e}" for e in range(14)), None]), rng.choice([None, *[first + dt.timedelta(rng.randrange(700))] * 9]), i) for i in range(500)]
+    left = spark.createDataFrame(events, "who string, day date, i int")
+    right = spark.createDataFrame(versions, "entity string, valid_from date, valid_to date, v int")
+    for how in ("left", "inner"):
+        got = asof.asof_join(left, right, [("who", "entity")], "day", how=how, slice_unit=unit)
+        want = relational.pit_join(left, right, [("who", "entity")], "day", how=how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_asof_join_of_a_hot_entity(spark, capsys):
+    """Ten thousand versions and a hundred thousand events of one customer, without a range condition."""
+    right = spark.range(10_000).selectExpr("'c' as entity", "date_add(date'1990-01-01', cast(id as int)) as valid_from", "date_add(date'1990-01-01', cast(id as int)) as valid_to", "id as v")
+    left = spark.range(100_000).selectExpr("'c' as who", "date_add(date'1990-01-01', cast(id % 10010 as int)) as day", "id as i")
+    out = asof.asof_join(left, right, [("who", "entity")], "day", slice_unit="year")
+    assert out.agg(F.count("v"), F.count("i"), F.count_if(F.col("v") == F.col("i") % 10010)).first()[:] == (99_910, 100_000, 99_910)
+
+
+def test_sample_is_uniform_and_weighted(spark):
+    df = spark.range(400).selectExpr("id", "id % 4 as g", "cast(if(id < 100, 3, 1) as double) as w")
+    hits, heavy = {}, 0
+    for seed in range(60):
+        got = [r.id for r in relational.sample_n(df, "id", 40, seed).collect()]
+        assert len(set(got)) == 40
+        for i in got:
+            hits[i] = hits.get(i, 0) + 1
+        heavy += sum(r.id < 100 for r in relational.sample_n(df, "id", 40, seed, weight="w").collect())
+    # 6 draws expected each; 400 counts around it with the spread of a binomial.
+    mean = sum(hits.values()) / 400
+    spread = sum((hits.get(i, 0) - mean) ** 2 for i in range(400)) / 400
+    assert mean == 6 and 3.8 < spread < 7.2
+    assert 0.42 < heavy / (60 * 40) < 0.56  # half of the weight lies on a quarter of the rows
+    each = relational.sample_n(df, "id", 7, per=["g"]).groupBy("g").count().collect()
+    assert {r["count"] for r in each} == {7} and len(each) == 4
+    # The sample of a union is the sample of the samples.
+    parts = relational.sample_n(df.where("id < 150"), "id", 40).unionByName(relational.sample_n(df.where("id >= 150"), "id", 40))
+    assert rows(relational.sample_n(parts, "id", 40), "id") == rows(relational.sample_n(df, "id", 40), "id")
+    assert relational.sample_n(df.withColumn("w", F.lit(0.0)), "id", 5, weight="w").count() == 0
+
+
+def test_reconcile_content(spark, tmp_path, capsys):
+    schema = "day date, k string, v int"
+    jan, feb = d("2020-01-01"), d("2020-02-01")
+    data = [(jan, f"a{i}", i) for i in range(50)] + [(feb, f"b{i}", i) for i in range(50)] + [(None, "n", 1), (feb, None, 1), (jan, "twice", 1), (jan, "twice", 1)]
+    source = spark.createDataFrame(data, schema)
+    assert files.reconcile_content(source, source, "day", ["k"]).count() == 0
+    other = [r for r in data if r[1] != "b7"] + [(feb, "b51", 1), (None, "n", 2)]
+    other[51] = (feb, "b0", None) if other[51][1] == "b1" else other[51]
+    other.remove((jan, "twice", 1))
+    target = spark.createDataFrame(other, schema)
+    got = {(r.day, r.k): r.state for r in files.reconcile_content(source, target, "day", ["k"]).collect()}
+    want = {(feb, "b7"): "missing", (feb, "b51"): "extra", (None, "n"): "changed", (jan, "twice"): "changed"}
+    if other[50][1] == "b0" and other[51] == (feb, "b0", None):
+        want |= {(feb, "b0"): "changed", (feb, "b1"): "missing"}
+    assert got == want
+    # Equal days are not read again: the lower levels name the days that differ.
+    path = str(tmp_path / "t")
+    source.where("day is not null").write.partitionBy("day").parquet(path)
+    changed = source.where("day is not null").withColumn("v", F.when(F.col("k") == "b3", 99).otherwise(F.col("v")))
+    out = files.reconcile_content(spark.read.parquet(path).select("day", "k", "v"), changed, "day", ["k"])
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "2020-02-01" in plan and "2020-01-01" not in plan
+    assert [(r.k, r.state) for r in out.collect()] == [("b3", "changed")]

@@ -181,12 +181,30 @@ def ensure_class_present(
     return df.withColumn(class_col, promoted.otherwise(F.col(class_col)))
 
 
-def sample_n(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 1000003) -> DataFrame:
-    """``n`` rows in a repeatable pseudo-random key order (ties by key).
-
-    Planned as a bounded top-n: each task keeps ``n`` rows.
+def sample_rank(key: Column, seed: int, weight: Column | None = None) -> Column:
+    """A row's place in a seeded draw: the smaller, the earlier. Without weights it is a hash of
+    seed and key; with them an exponential variable of rate ``weight`` made from the hash, so that
+    the chance to come next is in proportion to the weight. A weight of 0 or NULL is never drawn."""
+    code = F.md5(F.concat(F.lit(f"{seed}/"), key.cast("string")))
+    if weight is None:
+        return code
+    uniform = (F.conv(F.substring(code, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
+    return F.when(weight > 0, -F.log(uniform) / weight)
+
+
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 7, per: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """``n`` rows drawn without replacement, of all or of each ``per`` group (all rows of a smaller
+    one). The same seed draws the same keys, however the rows are dealt out.
+
+    Each task keeps its ``n`` smallest ranks. The sample of a union is the sample of the samples,
+    so a draw over old and new rows needs the old sample only.
     """
-    return df.orderBy(F.pmod(F.col(key) * multiplier, F.lit(modulus)), F.col(key)).limit(n)
+    rank = sample_rank(F.col(key), seed, F.col(weight) if weight else None)
+    ranked = df.withColumn("_rank", rank).where("_rank is not null")
+    if not per:
+        return ranked.orderBy("_rank", key).limit(n).drop("_rank")
+    order = Window.partitionBy(*per).orderBy("_rank", key)
+    return ranked.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).drop("_rank", "_rn")
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:

@@ -20,7 +20,7 @@ from tradewharf.functions import (
     roll,
     safe_ratio,
 )
-from tradewharf.operators import calendars, generators, ordering, quality, relational, scd2
+from tradewharf.operators import asof, calendars, generators, ordering, quality, relational, scd2
 from tradewharf.operators.distinct import distinct_counts
 from tradewharf.operators.hierarchy import chain_revenue, manager_chain
 from tradewharf.operators.incremental import (
@@ -215,6 +215,19 @@ def reconcile_counts(t: DriverTables) -> DataFrame:
     return files.reconcile_counts(landed, t.staged(spec.staged), "trade_date")
 
 
+@query
+def reconcile_content(t: DriverTables) -> DataFrame:
+    """A copy of the trades with lost, changed, moved and invented rows against the trades."""
+    source = t.lake()["fact_equity_trade"].select("source_system", "source_trade_id", "trade_id", "trade_date", "amount")
+    k = F.col("trade_id")
+    copied = source.where(k % 97 != 5).withColumns({
+        "amount": F.when(k % 101 == 7, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(20,2)"),
+        "trade_date": F.when(k % 103 == 9, F.date_add("trade_date", 1)).otherwise(F.col("trade_date")),
+    })
+    new = source.where(k % 107 == 11).withColumn("source_trade_id", F.concat(F.lit("NEW-"), "source_trade_id"))
+    return files.reconcile_content(source, copied.unionByName(new), "trade_date", ["source_system", "source_trade_id"])
+
+
 # -- projections, filters, predicates ---------------------------------------------------------
 
 
@@ -298,6 +311,19 @@ def pit_join(t: DriverTables) -> DataFrame:
     return joined.select("product_type", "trade_id", "trade_date", "customer_code", "holder_code", "valid_from")
 
 
+@query
+def asof_join(t: DriverTables) -> DataFrame:
+    """The rows of ``pit_join`` by merging trades and holdings in time."""
+    lake = t.lake()
+    held = lake["dim_customer_broker_history"].select(
+        F.col("customer_code").alias("_customer"), F.col("broker_code").alias("holder_code"),
+        "valid_from", "valid_to",
+    )
+    trades = lake["int_all_trades"].select("product_type", "trade_id", "trade_date", "customer_code")
+    joined = asof.asof_join(trades, held, [("customer_code", "_customer")], "trade_date")
+    return joined.select("product_type", "trade_id", "trade_date", "customer_code", "holder_code", "valid_from")
+
+
 @query
 def rate_lookup(t: DriverTables) -> DataFrame:
     lake = t.lake()
@@ -643,6 +669,13 @@ def sample_n(t: DriverTables) -> DataFrame:
     return relational.sample_n(customers, "c_custkey", 800)
 
 
+@query
+def sample_per_nation(t: DriverTables) -> DataFrame:
+    """Five customers of each nation, drawn without replacement."""
+    customers = t.read("customer").select("c_custkey", "c_nationkey")
+    return relational.sample_n(customers, "c_custkey", 5, per=["c_nationkey"])
+
+
 @query
 def first_by_key(t: DriverTables) -> DataFrame:
     """First broker by code of each subtype."""
