@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewharf.operators.relational import union_frames
@@ -11,8 +11,8 @@ from tradewharf.session import materialize
 PAIR = ["x", "z", "d"]
 
 
-def _registry(people: DataFrame, id_col: str, code_col: str, manager_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, nodes): every row with the key ``x`` of its chain, and one node per employee code.
+def _registry(people: DataFrame, id_col: str, code_col: str, manager_col: str) -> DataFrame:
+    """id, code, manager of every row, the key ``x`` of its chain, and whether it is its code's node.
 
     A code names one manager, the row with the smallest id. Its chain has the code as key; other
     rows, of a repeated code or without one, are nobody's manager and are keyed by their content.
@@ -20,12 +20,10 @@ def _registry(people: DataFrame, id_col: str, code_col: str, manager_col: str) -
     rows = people.select(
         F.col(id_col).cast("string").alias("id"), F.col(code_col).cast("string").alias("code"), F.col(manager_col).cast("string").alias("manager")
     )
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "manager")).alias("f")
-    nodes = rows.where("code is not null").groupBy("code").agg(first).select("code", F.col("f.id").alias("node_id"), F.col("f.manager").alias("node_manager"))
+    first = Window.partitionBy("code").orderBy(F.col("id").asc_nulls_last(), "manager")
+    ranked = rows.withColumn("is_node", F.col("code").isNotNull() & (F.rank().over(first) == 1))
     shown = [F.coalesce(F.col(c), F.lit("\0")) for c in ("id", "code", "manager")]
-    own = F.col("code").isNotNull() & F.col("id").eqNullSafe(F.col("node_id")) & F.col("manager").eqNullSafe(F.col("node_manager"))
-    keyed = rows.join(nodes.withColumnRenamed("code", "_code"), F.col("code") == F.col("_code"), "left")
-    return keyed.select("id", "manager", F.when(own, F.col("code")).otherwise(F.concat(F.lit("\0"), F.concat_ws("\0", *shown))).alias("x")), nodes
+    return ranked.withColumn("x", F.when(F.col("is_node"), F.col("code")).otherwise(F.concat(F.lit("\0"), F.concat_ws("\0", *shown))))
 
 
 def _cut(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -80,8 +78,9 @@ def manager_chain(
     their number of people; each round is a written table. Loops are cut open as soon as they are
     seen, so a registry whose head is his own manager costs no more than one without.
     """
-    rows, nodes = _registry(people, id_col, code_col, manager_col)
-    links = rows.join(nodes, F.col("manager") == F.col("code")).select("x", F.col("code").alias("z"), F.lit(1).cast("bigint").alias("d")).distinct()
+    rows = materialize(_registry(people, id_col, code_col, manager_col), "chain-people")
+    nodes = rows.where("is_node").select("code", F.col("id").alias("node_id")).distinct()
+    links = rows.select("x", "manager").distinct().join(nodes, F.col("manager") == F.col("code")).select("x", F.col("code").alias("z"), F.lit(1).cast("bigint").alias("d"))
     parts, loops, reach = [materialize(links, "chain-1")], [], 1
     while True:
         pairs = union_frames(parts)

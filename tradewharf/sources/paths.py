@@ -43,6 +43,19 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def rename_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Several moves between folders of one file system; the folders above the targets are made."""
+    if not moves:
+        return
+    fs, _ = _fs(spark, moves[0][0])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for above in {target.rsplit("/", 1)[0] for _, target in moves}:
+        fs.mkdirs(path(above))
+    for source, target in moves:
+        if not fs.rename(path(source), path(target)):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
