@@ -121,5 +121,7 @@ def int_all_trades(equity: DataFrame, derivatives: DataFrame, oef: DataFrame) ->
 
 @model("int_trade_id_words", LAYER, ["int_all_trades"], materialized="view")
 def int_trade_id_words(trades: DataFrame) -> DataFrame:
-    """The set of trade ids per day, product and broker: what roll-ups count distinct trades from."""
-    return id_words(trades, ["trade_date", "product_type", "broker_code"], "trade_id")
+    """Trade ids per day, product and broker as sets, with turnover and fees: what roll-ups of
+    distinct trades and commission start from."""
+    sums = {"trade_amount": F.col("amount"), "fee_revenue": F.col("fee_amount")}
+    return id_words(trades, ["trade_date", "product_type", "broker_code"], "trade_id", sums)

@@ -557,21 +557,28 @@ def management_override_effective(
     return _override(rated, departments, branches, employees)
 
 
-@_report("commission_rollup", ["rpt_broker_commission_revenue", "int_trade_id_words", "dim_broker"])
-def commission_rollup(commission: DataFrame, words: DataFrame, brokers: DataFrame) -> DataFrame:
-    """Commission and distinct trades per quarter, rolled up broker, department, branch, firm.
+MONEY = ["trade_amount", "fee_revenue", "broker_commission_amount"]
 
-    Brokers are summed per quarter first; the roll-up expands those sums, not the days. Trades
-    are counted from the sets of ids, which merge along the same levels.
+
+def _rated_words(words: DataFrame, brokers: DataFrame, rates: DataFrame) -> DataFrame:
+    """Sets of trade ids with their broker's unit and the commission of their fees. A set stays one
+    however many rates overlap; its sums are repeated as they are in the commission report."""
+    unit = brokers.select("broker_code", "department_id", "branch_id")
+    schedule = rates.select(F.col("product_type").alias("_product"), "commission_rate", "effective_from", "effective_to")
+    rated = pit_join(
+        words.join(unit, "broker_code"), schedule, [("product_type", "_product")], "trade_date", "effective_from", "effective_to"
+    )
+    return rated.withColumn("broker_commission_amount", F.col("fee_revenue") * F.col("commission_rate"))
+
+
+@_report("commission_rollup", ["int_trade_id_words", "dim_broker", "dim_fee_schedule"])
+def commission_rollup(words: DataFrame, brokers: DataFrame, rates: DataFrame) -> DataFrame:
+    """Distinct trades and commission per quarter, rolled up broker, department, branch, firm.
+
+    Brokers' sets and sums are merged per quarter first; the roll-up expands those, not the days.
     """
-    year, quarter = F.year("trade_date").alias("year"), F.quarter("trade_date").alias("quarter")
-    quarterly = commission.groupBy(year, quarter, "branch_id", "department_id", "broker_code").agg(
-        F.sum("trade_amount").alias("_amount"),
-        F.sum("fee_revenue").alias("_fee"),
-        F.sum("broker_commission_amount").alias("_commission"),
-    )
-    ids = merge_words(words.select("*", year, quarter), ["year", "quarter", "broker_code"])
-    ids = ids.join(brokers.select("broker_code", "department_id", "branch_id"), "broker_code")
+    dated = _rated_words(words, brokers, rates).withColumns({"year": F.year("trade_date"), "quarter": F.quarter("trade_date")})
+    quarterly = merge_words(dated, ["year", "quarter", "branch_id", "department_id", "broker_code"], MONEY)
     branch, department, broker = F.col("branch_id"), F.col("department_id"), F.col("broker_code")
     no_id, no_code = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     unit = struct_rows(
@@ -581,36 +588,22 @@ def commission_rollup(commission: DataFrame, words: DataFrame, brokers: DataFram
         (F.lit("BRANCH"), branch, no_id, no_code),
         (F.lit("FIRM"), no_id, no_id, no_code),
     )
-    by = ["year", "quarter", "level", "branch_id", "department_id", "broker_code"]
-
-    def levels(df: DataFrame, *kept: str) -> DataFrame:
-        return df.withColumn("u", F.explode(unit)).select(
-            "year", "quarter", F.col("u.level").alias("level"), F.col("u.b").alias("branch_id"),
-            F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"), *kept,
-        )
-
-    sums = levels(quarterly, "_amount", "_fee", "_commission").groupBy(*by).agg(
-        F.sum("_amount").alias("trade_amount"),
-        F.sum("_fee").alias("fee_revenue"),
-        F.sum("_commission").alias("broker_commission_amount"),
+    levels = quarterly.withColumn("u", F.explode(unit)).select(
+        "year", "quarter", F.col("u.level").alias("level"), F.col("u.b").alias("branch_id"),
+        F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"), WORD, BITS, *MONEY,
     )
-    return side_by_side([sums, count_words(levels(ids, WORD, BITS), by, "trade_count")], by)
+    by = ["year", "quarter", "level", "branch_id", "department_id", "broker_code"]
+    return count_words(levels, by, "trade_count", MONEY)
 
 
-@_report("commission_calendar", ["rpt_broker_commission_revenue", "dim_date", "int_trade_id_words", "dim_broker"])
-def commission_calendar(commission: DataFrame, calendar: DataFrame, words: DataFrame, brokers: DataFrame) -> DataFrame:
-    """Commission and distinct trades per calendar week, month and quarter, by product and branch.
+@_report("commission_calendar", ["int_trade_id_words", "dim_broker", "dim_fee_schedule", "dim_date"])
+def commission_calendar(words: DataFrame, brokers: DataFrame, rates: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Distinct trades and commission per calendar week, month and quarter, by product and branch.
 
-    Days are summed, and their sets of trade ids merged, before they meet the calendar. A week
+    Brokers' sets and sums are merged per day and branch before they meet the calendar. A week
     belongs to the day it starts on, so one that crosses the year's end is whole.
     """
-    daily = commission.groupBy("trade_date", "product_type", "branch_id").agg(
-        F.sum("trade_amount").alias("_amount"),
-        F.sum("fee_revenue").alias("_fee"),
-        F.sum("broker_commission_amount").alias("_commission"),
-    )
-    ids = words.join(brokers.select("broker_code", "branch_id"), "broker_code")
-    ids = merge_words(ids, ["trade_date", "product_type", "branch_id"])
+    daily = merge_words(_rated_words(words, brokers, rates), ["trade_date", "product_type", "branch_id"], MONEY)
     day = F.col("date_key")
     span = struct_rows(
         ["period", "no", "start"],
@@ -618,20 +611,11 @@ def commission_calendar(commission: DataFrame, calendar: DataFrame, words: DataF
         (F.lit("MONTH"), F.col("month"), F.trunc(day, "month")),
         (F.lit("QUARTER"), F.col("quarter"), F.trunc(day, "quarter")),
     )
-    by = ["period", "period_no", "period_start", "product_type", "branch_id"]
-
-    def dated(df: DataFrame, *kept: str) -> DataFrame:
-        return df.join(calendar, F.col("trade_date") == day).withColumn("p", F.explode(span)).select(
-            F.col("p.period").alias("period"), F.col("p.no").alias("period_no"), F.col("p.start").alias("period_start"),
-            "product_type", "branch_id", *kept,
-        )
-
-    sums = dated(daily, "_amount", "_fee", "_commission").groupBy(*by).agg(
-        F.sum("_amount").alias("trade_amount"),
-        F.sum("_fee").alias("fee_revenue"),
-        F.sum("_commission").alias("broker_commission_amount"),
+    dated = daily.join(calendar, F.col("trade_date") == day).withColumn("p", F.explode(span)).select(
+        F.col("p.period").alias("period"), F.col("p.no").alias("period_no"), F.col("p.start").alias("period_start"),
+        "product_type", "branch_id", WORD, BITS, *MONEY,
     )
-    return side_by_side([sums, count_words(dated(ids, WORD, BITS), by, "trade_count")], by)
+    return count_words(dated, ["period", "period_no", "period_start", "product_type", "branch_id"], "trade_count", MONEY)
 
 
 @_report("foreign_net_flow", ["fact_equity_trade", "stg_common__customer"])
