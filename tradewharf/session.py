@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,12 @@ def work_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    named = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", root)
+    if named:
+        scheme = named[1].lower()
+    else:  # the default file system's
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
     if scheme == "file" and not one_machine(spark.sparkContext.master):
         raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: {root} is local to each machine")
     return f"{root}/_work"
