@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewharf.operators.relational import union_frames
@@ -42,6 +42,25 @@ def count_words(state: DataFrame, by: Sequence[str], out: str, sums: Sequence[st
     return merge_words(state, by, sums).groupBy(*by).agg(counted, *[F.sum(c).alias(c) for c in sums])
 
 
+def count_nested(
+    state: DataFrame, shared: Sequence[str], nested: Sequence[str], outs: Sequence[str], sums: Sequence[str] = ()
+) -> DataFrame:
+    """Per ``shared`` and ``nested`` group, finest grain: the sums, and how many ids the group adds
+    to ``shared`` alone, to ``shared`` with the first ``nested`` column, and so on; ``outs`` names
+    these numbers, one more than ``nested``. An id counts in the first row of each scope that has
+    it, so the numbers of a coarser scope add up to its distinct ids.
+
+    All scopes are prefixes of one order: one exchange by word and one sort, which may spill, serve
+    them all, and no row is repeated per level."""
+    counted = state
+    for i, out in enumerate(outs):
+        scope = Window.partitionBy(*shared, WORD, *nested[:i]).orderBy(*nested[i:], BITS)
+        seen = F.coalesce(F.bit_or(BITS).over(scope.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+        counted = counted.withColumn(out, F.bit_count(F.col(BITS).bitwiseAND(F.bitwise_not(seen))))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in outs]
+    return counted.groupBy(*shared, *nested).agg(*totals, *[F.sum(c).alias(c) for c in sums])
+
+
 def count_values(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """Distinct values of any type per group: each value once first, then counted."""
     return df.select(*by, value).distinct().groupBy(*by).agg(F.count(value).alias(out))

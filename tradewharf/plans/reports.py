@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewharf.functions import flag, safe_ratio, struct_rows
-from tradewharf.operators.distinct import BITS, WORD, count_values, count_words, id_words, merge_words, side_by_side
+from tradewharf.operators.distinct import BITS, WORD, count_nested, count_values, count_words, id_words, merge_words, side_by_side
 from tradewharf.operators.relational import latest_slice, pit_join, rate_lookup, window_total
 from tradewharf.registry import model
 
@@ -575,25 +575,27 @@ def _rated_words(words: DataFrame, brokers: DataFrame, rates: DataFrame) -> Data
 def commission_rollup(words: DataFrame, brokers: DataFrame, rates: DataFrame) -> DataFrame:
     """Distinct trades and commission per quarter, rolled up broker, department, branch, firm.
 
-    Brokers' sets and sums are merged per quarter first; the roll-up expands those, not the days.
+    Each broker's quarter knows how many trades it adds to its department, branch and the firm, so
+    the roll-up expands one row per broker and quarter, not the sets.
     """
     dated = _rated_words(words, brokers, rates).withColumns({"year": F.year("trade_date"), "quarter": F.quarter("trade_date")})
-    quarterly = merge_words(dated, ["year", "quarter", "branch_id", "department_id", "broker_code"], MONEY)
+    units, counts = ["branch_id", "department_id", "broker_code"], ["_firm", "_branch", "_department", "_broker"]
+    quarterly = count_nested(dated, ["year", "quarter"], units, counts, MONEY)
     branch, department, broker = F.col("branch_id"), F.col("department_id"), F.col("broker_code")
     no_id, no_code = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     unit = struct_rows(
-        ["level", "b", "d", "k"],
-        (F.lit("BROKER"), branch, department, broker),
-        (F.lit("DEPARTMENT"), branch, department, no_code),
-        (F.lit("BRANCH"), branch, no_id, no_code),
-        (F.lit("FIRM"), no_id, no_id, no_code),
+        ["level", "b", "d", "k", "n"],
+        (F.lit("BROKER"), branch, department, broker, F.col("_broker")),
+        (F.lit("DEPARTMENT"), branch, department, no_code, F.col("_department")),
+        (F.lit("BRANCH"), branch, no_id, no_code, F.col("_branch")),
+        (F.lit("FIRM"), no_id, no_id, no_code, F.col("_firm")),
     )
     levels = quarterly.withColumn("u", F.explode(unit)).select(
         "year", "quarter", F.col("u.level").alias("level"), F.col("u.b").alias("branch_id"),
-        F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"), WORD, BITS, *MONEY,
+        F.col("u.d").alias("department_id"), F.col("u.k").alias("broker_code"), F.col("u.n").alias("trade_count"), *MONEY,
     )
     by = ["year", "quarter", "level", "branch_id", "department_id", "broker_code"]
-    return count_words(levels, by, "trade_count", MONEY)
+    return levels.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("trade_count", *MONEY)])
 
 
 @_report("commission_calendar", ["int_trade_id_words", "dim_broker", "dim_fee_schedule", "dim_date"])
