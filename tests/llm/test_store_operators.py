@@ -279,3 +279,32 @@ def test_pivots_spare_evaluations():
     d = ((x[:, None] - centres[None]) ** 2).sum(2)
     assert (entry == d.argmin(1)).all() and (best == d.min(1)).all()
     assert tried < 5000 * 64 / 10
+
+
+def test_remembered_words_are_looked_up_once():
+    """One look-up a word that is remembered; older words and new ones come out alike."""
+
+    class Counted(dict):
+        n = 0
+
+        def get(self, *key):
+            Counted.n += 1
+            return super().get(*key)
+
+        def __contains__(self, key):
+            Counted.n += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return super().__getitem__(key)
+
+    with open(public_tokenizers.path(token_shards.VOCABULARY), encoding="utf-8") as f:
+        encoder = token_shards.Encoder(f.read())
+    words = ["alpha", "beta", "", "zyzzyx", "straße", "alpha"]
+    want = [np.array(encoder.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert encoder._ids(words) == want
+    encoder.words = Counted(encoder.words)
+    assert encoder._ids(words) == want and Counted.n == len(words)
+    encoder.older, encoder.words = dict(encoder.words), {}
+    assert encoder._ids([*words, "gamma"])[:-1] == want and set(encoder.words) == {*words, "gamma"}

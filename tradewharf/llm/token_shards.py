@@ -67,16 +67,18 @@ class Encoder:
         if len(self.words) > KNOWN_WORDS:
             self.words, self.older = {}, self.words
         known, older = self.words, self.older
+        found = list(map(known.get, words))
         new = []
-        for w in words:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    new.append(w)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
-        return [known[w] for w in words]
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = older.get(words[i])
+            if found[i] is None:
+                new.append(i)
+            else:
+                known[words[i]] = found[i]
+        asked = [words[i] for i in new]
+        for i, e in zip(new, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
+            known[words[i]] = found[i] = array("I", e.ids).tobytes()
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids with the end id) of every text; null is empty."""
