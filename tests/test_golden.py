@@ -106,6 +106,47 @@ def test_concentration_shares_add_up(lake):
     assert all(abs(v - 1) < 1e-9 for v in total.values())
 
 
+def test_concentration_totals(spark, capsys):
+    """Plain Python gives the same totals, with repeated rows and NULLs; the positions are read
+    for the rows and for the instruments' totals, not once more for the customers'."""
+    accounts = [("EQUITY", 1, "A"), ("EQUITY", 2, "A"), ("OEF", 1, "B"), ("OEF", 3, None), ("EQUITY", 4, "B"), ("EQUITY", 4, "C"), (None, 1, "A")]
+    positions = [
+        (product, account, instrument, day, value)
+        for product in ("EQUITY", "OEF", None) for account in (1, 2, 3, 4, 5, None) for instrument in (7, None)
+        for day in (dt.date(2020, 1, 1), dt.date(2020, 1, 2), None) for value in (D("10"), D("10"), D("2.5"), None)
+    ]
+    given = {
+        "fact_position_daily": spark.createDataFrame(
+            positions, "product_type string, account_id bigint, instrument_id bigint, position_date date, market_value decimal(20,2)"
+        ),
+        "dim_account": spark.createDataFrame(accounts, "product_type string, account_id bigint, customer_code string"),
+    }
+    owned = [
+        (day, product, instrument, who, value)
+        for product, account, instrument, day, value in positions if day and product and account
+        for p, a, who in accounts if who and (p, a) == (product, account)
+    ]
+
+    def total(place, key):
+        values = [r[4] for r in owned if tuple(r[i] for i in place) == key and r[4] is not None]
+        return sum(values) if values else None
+
+    want = [(*r, total((3, 0), (r[3], r[0])), total((0, 1, 2), r[:3])) for r in owned]
+    out = Lake(spark, given)["rpt_position_concentration_risk"]
+    cols = [
+        "position_date", "product_type", "instrument_id", "customer_code", "market_value",
+        "customer_total_market_value", "firm_wide_market_value_in_instrument",
+    ]
+
+    def plain(rows):
+        return sorted(str(tuple(float(x) if isinstance(x, D) else x for x in r)) for r in rows)
+
+    assert plain(out.select(cols).collect()) == plain(want)
+    out.explain()
+    scans = [line for line in capsys.readouterr().out.splitlines() if "Scan" in line and "market_value" in line]
+    assert len(scans) == 2
+
+
 def test_unknown_table(lake):
     with pytest.raises(KeyError, match="no_such_table"):
         lake["no_such_table"]

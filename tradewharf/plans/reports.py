@@ -296,17 +296,17 @@ def customer_dormant(
 def position_concentration_risk(positions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Share of each position in its customer's day total, and the firm-wide holding."""
     owner = accounts.select("product_type", "account_id", "customer_code").where("customer_code is not null")
-    owned = positions.join(owner, ["product_type", "account_id"]).select(
+    # Without a day a position has no day total.
+    owned = positions.where("position_date is not null").join(owner, ["product_type", "account_id"]).select(
         "position_date", "product_type", "instrument_id", "customer_code", "market_value"
     )
-    # Both totals come from the positions, so neither waits for the other's join.
-    day_total = owned.groupBy("customer_code", "position_date").agg(
-        F.sum("market_value").alias("customer_total_market_value")
-    )
+    # An instrument's day may be hot, hence the join; a customer's day is a small group, so its
+    # total is a window and the positions are not computed once more for it.
+    day = Window.partitionBy("customer_code", "position_date")
     firm = window_total(
         owned, "market_value", ["position_date", "product_type", "instrument_id"],
         "firm_wide_market_value_in_instrument",
-    ).join(day_total, ["customer_code", "position_date"])
+    ).withColumn("customer_total_market_value", F.sum("market_value").over(day))
     return firm.select(
         "position_date", "product_type", "instrument_id", "customer_code", "market_value",
         "customer_total_market_value",
