@@ -308,3 +308,55 @@ def test_remembered_words_are_looked_up_once():
     assert encoder._ids(words) == want and Counted.n == len(words)
     encoder.older, encoder.words = dict(encoder.words), {}
     assert encoder._ids([*words, "gamma"])[:-1] == want and set(encoder.words) == {*words, "gamma"}
+
+
+def _encoded(encoder, texts):
+    import pyarrow as pa
+
+    return [ids.tolist() for _, ids in encoder.encode(pa.array(texts, pa.string()), 1)]
+
+
+def _word_encoder():
+    with open(public_tokenizers.path(token_shards.VOCABULARY), encoding="utf-8") as f:
+        return token_shards.Encoder(f.read())
+
+
+def test_new_words_of_letters_are_encoded_many_to_a_text():
+    """A few texts go to the tokenizer for a thousand new words, none for words met before."""
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.n = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.n += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = _word_encoder()
+    whole, draw = encoder.tokenizer, random.Random(7)
+    words = ["".join(draw.choices("abcdefgéñüжд", k=draw.randint(2, 12))) for _ in range(1000)]
+    texts = [" ".join(words[:500]), "", None, " ".join(words[500:]) + ". It's 42"]
+    want = [[*whole.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    encoder.tokenizer = Counted(whole)
+    assert _encoded(encoder, texts) == want and encoder.tokenizer.n <= 10
+    encoder.tokenizer.n = 0
+    assert _encoded(encoder, texts[::-1]) == want[::-1] and encoder.tokenizer.n == 0
+
+
+def test_letters_that_split_and_words_that_are_forgotten(monkeypatch):
+    """Letters that become a letter and a mark, groups of three words, ten words remembered."""
+    for name, value in (("LETTER_WORDS", 10), ("GROUP_WORDS", 3), ("CHUNK_BYTES", 40)):
+        monkeypatch.setattr(token_shards, name, value)
+    encoder = _word_encoder()
+    whole = encoder.tokenizer
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.lists(st.lists(st.text("ab\u0130\u0131\u00df\u01c5\u0958\u212b\u1100\u1161\uac00", min_size=1, max_size=5), max_size=12), max_size=8))
+    def same_ids(texts):
+        texts = [" ".join(t) for t in texts]
+        assert _encoded(encoder, texts) == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        assert len(encoder.letters) == len(encoder.letter_ids) == len(encoder.met) <= 10 + 60
+
+    same_ids()
+    assert _encoded(encoder, ["\u0130zmir ankara"]) == [[*whole.encode("\u0130zmir ankara", add_special_tokens=False).ids, 1]]
+    assert {"\u0130zmir", "ankara"} <= encoder.words.keys()  # their group went word by word

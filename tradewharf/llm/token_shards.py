@@ -38,14 +38,17 @@ SHARD_IDS, LEAST = 1 << 19, 16
 SAMPLE = 256
 #: Text bytes a writing task gets, and ids a reading task gets.
 TASK_BYTES, TASK_IDS = 32_000_000, 16_000_000
-#: Words whose ids a worker remembers, twice over; characters looked up at once.
-KNOWN_WORDS, CHUNK_BYTES = 450_000, 6_000_000
-#: Words whose ids are put together at once.
-BLOCK_WORDS = 1 << 16
+#: Words of letters whose ids a worker remembers, others (twice over), and characters looked up at once.
+LETTER_WORDS, KNOWN_WORDS, CHUNK_BYTES = 1_000_000, 150_000, 6_000_000
+#: New words of letters that are encoded as one text.
+GROUP_WORDS = 256
 
 #: Between a letter and ASCII punctuation other than apostrophe and bar a space goes in.
 CUT = (r"(\pL)([!-&(-/:-@\[-`{}~])", r"\1 \2")
 
+#: Words that are one piece to the tokenizer, unless lower case or NFC splits a letter.
+LETTERS = r"^\pL+$"
+
 PIECES = "array<struct<at: long, length: long, first: long, n: long>>"
 INDEX_SCHEMA = f"doc_id long, part int, start long, n_tokens long, file string, pieces {PIECES}"
 
@@ -54,7 +57,11 @@ class Encoder:
     """Ids of whole texts. The tokenizer takes lower case, and no token reaches across white space
     or from a letter into ASCII punctuation. So a text's ids are those of its words, cut there,
     and each word is encoded once while it is remembered. Apostrophes begin contractions and bars
-    belong to the tokenizer's control strings: at these nothing is cut."""
+    belong to the tokenizer's control strings: at these nothing is cut.
+
+    Nearly all words are letters alone. Those are remembered in Arrow arrays, looked up together,
+    and the new ones are encoded many to a text: a token with the end-of-word suffix is a word's
+    last. The others are remembered and encoded one by one."""
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -62,6 +69,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.letters, self.letter_ids = pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32()))
+        #: The chunk in which each word of letters was last met, and the number of this one.
+        self.met, self.chunk = np.empty(0, np.int64), 0
+        suffix, tokens = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.last = np.zeros(max(tokens.values(), default=0) + 1, bool)
+        self.last[[i for token, i in tokens.items() if suffix and token.endswith(suffix)]] = True
 
     def _ids(self, words: list[str]) -> list[bytes]:
         if len(self.words) > KNOWN_WORDS:
@@ -80,6 +93,37 @@ class Encoder:
             known[words[i]] = found[i] = array("I", e.ids).tobytes()
         return found
 
+    def _joined(self, words: list[str]) -> pa.ListArray:
+        """Ids of words of letters. Each is one piece or more, so a group with as many last tokens
+        as words has one a word; another group is encoded word by word."""
+        groups = [words[i : i + GROUP_WORDS] for i in range(0, len(words), GROUP_WORDS)]
+        flat, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                parts = self._ids(group)
+                ids, ends = np.frombuffer(b"".join(parts), "<u4"), np.cumsum([len(p) // 4 for p in parts])
+            flat.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return _lists(np.concatenate(flat), np.concatenate(sizes))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of these distinct words of letters are in ``letter_ids``."""
+        self.chunk += 1
+        if len(self.letters) > LETTER_WORDS:
+            keep = np.argsort(-self.met, kind="stable")[: LETTER_WORDS // 2]
+            self.letters, self.letter_ids, self.met = self.letters.take(keep), self.letter_ids.take(keep), self.met[keep]
+        place = pc.index_in(words, value_set=self.letters)
+        new = words.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.letters) + np.arange(len(new))
+        self.letters = pa.concat_arrays([self.letters, new])
+        self.letter_ids = pa.concat_arrays([self.letter_ids, self._joined(new.to_pylist())])
+        self.met = np.append(self.met, np.empty(len(new), np.int64))
+        self.met[place] = self.chunk
+        return place
+
     def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids with the end id) of every text; null is empty."""
         texts = pc.fill_null(texts, "")
@@ -96,26 +140,32 @@ class Encoder:
         lower = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
         split = pc.split_pattern(pc.replace_substring_regex(lower, *CUT), " ")
         seen = split.flatten().dictionary_encode()
-        parts = [*self._ids(seen.dictionary.to_pylist()), array("I", [end_id]).tobytes()]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        flat, begins = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
-        word = seen.indices.to_numpy(zero_copy_only=False)
+        words = seen.dictionary
+        plain = pc.match_substring_regex(words, LETTERS)
+        plain_at, other_at = (np.flatnonzero(m.to_numpy(zero_copy_only=False)) for m in (plain, pc.invert(plain)))
+        place = np.empty(len(words), np.int64)
+        place[plain_at] = self._places(words.take(plain_at))
+        place[other_at] = len(self.letters) + np.arange(len(other_at))
+        others = [*self._ids(words.take(other_at).to_pylist()), array("I", [end_id]).tobytes()]
+        others = _lists(np.frombuffer(b"".join(others), "<u4"), np.fromiter(map(len, others), np.int64, len(others)) // 4)
+        lists = pa.concat_arrays([self.letter_ids, others])
         offsets = split.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
         offsets = offsets - offsets[0]
         # The end id is one more word after each text.
-        word = np.insert(word, offsets[1:], len(parts) - 1)
-        ids = []
-        for at in range(0, len(word), BLOCK_WORDS):
-            w = word[at : at + BLOCK_WORDS]
-            n = sizes[w]
-            ids.append(flat[np.repeat(begins[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-        after = np.cumsum(sizes[word])[offsets[1:] + np.arange(len(offsets) - 1)]
-        whole, before = np.concatenate(ids) if ids else flat[:0], 0
-        for end in after.tolist():
+        word = np.insert(place[seen.indices.to_numpy(zero_copy_only=False)], offsets[1:], len(lists) - 1)
+        found = lists.take(word)
+        whole, at = found.values.to_numpy(), found.offsets.to_numpy()
+        before = at[0]
+        for end in at[offsets[1:] + np.arange(1, len(offsets))].tolist():
             yield whole[before:end]
             before = end
 
 
+def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Lists of these sizes, one after the other."""
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat.astype(np.uint32))
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 
