@@ -16,6 +16,7 @@ from tradewharf import session
 from tradewharf.functions import flag, in_period, pad_code, safe_ratio
 from tradewharf.operators import asof, calendars, distinct, generators, hierarchy, ordering, quality, relational
 from tradewharf.operators.hierarchy import chain_revenue, manager_chain
+from tradewharf.plans import catalog_operators
 from tradewharf.plans.dims import calendar_dim, default_calendar_bounds
 from tradewharf.registry import MODELS, Lake, dependency_order, layer_schema
 from tradewharf.schemas import LANDED, PASSTHROUGH
@@ -472,6 +473,56 @@ def test_unknown_column_and_gate(tables):
         quality.require_rows(t=tables["t"], empty=tables["empty"])
 
 
+def _plans_of(monkeypatch):
+    """What ``run_checks`` is asked for from here on: the tables, and the plan that ran."""
+    asked, run = [], quality.run_checks
+
+    def seen(tables, checks, as_of):
+        df = run(tables, checks, as_of)
+        df.collect()
+        asked.append(({c.table for c in checks}, df._jdf.queryExecution().executedPlan().toString()))
+        return df
+
+    monkeypatch.setattr(quality, "run_checks", seen)
+    return asked
+
+
+def test_written_checks_run_by_table_and_broadcast_by_measured_size(spark, tmp_path, monkeypatch):
+    # Files of about 0.5 MB; with the text that is made from the keys more than the 10 MB of the limit.
+    spark.range(120_000).coalesce(1).write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys").select("id", F.repeat(F.col("id").cast("string"), 40).alias("text"))
+    few = spark.createDataFrame([(1, 1), (1, 2), (None, 3)], "id bigint, v int")
+    many = spark.range(1_000_000).withColumn("v", F.lit(1))
+    tables = {"few": few, "wide": many.join(keys, "id"), "small": many.join(spark.range(50_000), "id")}
+    checks = [
+        quality.Check("few", "missing", ("id",)), quality.Check("wide", "missing", ("text",)),
+        quality.Check("small", "row_count"), quality.Check("few", "duplicates", ("id",)),
+    ]
+    at, report = dt.datetime(2020, 1, 3), ("table_name", "check_name", "column_name", "observed", "status")
+    expected = rows(quality.run_checks(tables, checks, at), *report)
+    before = spark.conf.get(session.BROADCAST), spark.conf.get(session.MEASURED, None)
+    asked = _plans_of(monkeypatch)
+    assert rows(quality.write_checks(tables, checks, at), *report) == expected
+    plans = {min(names): plan.split("== Initial Plan ==")[0] for names, plan in asked if len(names) == 1}
+    assert set(plans) == {"few", "wide", "small"} and len(asked) == 3
+    assert "SortMergeJoin" in plans["wide"] and "BroadcastHashJoin" not in plans["wide"]
+    assert "BroadcastHashJoin" in plans["small"]
+    assert (spark.conf.get(session.BROADCAST), spark.conf.get(session.MEASURED, None)) == before
+    with pytest.raises(ValueError), session.measured_broadcasts(spark):
+        raise ValueError
+    assert (spark.conf.get(session.BROADCAST), spark.conf.get(session.MEASURED, None)) == before
+
+
+def test_report_of_the_lake_runs_by_table(spark, monkeypatch):
+    asked = _plans_of(monkeypatch)
+    few = spark.createDataFrame([(1,), (1,), (None,)], "id bigint")
+    checks = [quality.Check("t", "missing", ("id",)), quality.Check("u", "row_count"), quality.Check("u", "duplicates", ("id",))]
+    monkeypatch.setattr(catalog_operators, "GOLD_CHECKS", checks)
+    report = catalog_operators.dq_report(SimpleNamespace(lake=lambda as_of: {"t": few, "u": few}))
+    assert rows(report, "table_name", "observed", "status") == [("t", 1, "fail"), ("u", 1, "fail"), ("u", 3, "pass")]
+    assert sorted(map(sorted, (names for names, _ in asked))) == [["t"], ["u"]]
+
+
 def test_anomaly(spark):
     days = [d("2020-01-01") + dt.timedelta(days=i) for i in range(10)]
     data = [(x,) for i, x in enumerate(days) for _ in range(50 if i == 9 else 10 + i % 2)]
